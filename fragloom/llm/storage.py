@@ -1,0 +1,21 @@
+"""Cutting lineage in the folder that all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def prepare(spark: SparkSession) -> None:
+    """Checkpoints go to spark.checkpoint.dir; only where that is unset (a local session) to a temporary folder."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="fragloom-"))
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder: a lost executor costs no recomputation."""
+    prepare(df.sparkSession)
+    return df.checkpoint(eager=True)
