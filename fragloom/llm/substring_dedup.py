@@ -117,3 +117,17 @@ def substring_dedup(docs: DataFrame, k: int = 20, m: int = 2, id_col: str = "doc
 
 def query(spark, sf_dir):
     return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), texts=False)
+
+
+#: All windows, each as its words; a window is later if its words also start at a smaller (doc_id, start).
+SQL = r"""
+with doc as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as win from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from doc)),
+later as (select doc_id, i from (select doc_id, i, row_number() over (partition by win order by doc_id, i) as n from win) where n > 1),
+gone as (select distinct doc_id, j from (select doc_id, unnest(range(i, i + 20)) as j from later)),
+word as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as j from doc),
+kept as (select doc_id, string_agg(word, ' ' order by j) as kept from word anti join gone using (doc_id, j) group by doc_id),
+lost as (select doc_id, count(*) as n_removed from gone group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from doc left join kept using (doc_id) left join lost using (doc_id)
+"""
