@@ -1,10 +1,90 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread as the next one's input.
+
+Each stage takes (spark, docs, sf_dir), works on every row that its predecessor kept, and calls
+one operator of ``fragloom.llm``.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from fragloom.llm import decontamination, line_dedup, mixing, quality, simhash
+from fragloom.llm.spans import NULL_ID, keyed
+from fragloom.llm.storage import materialise
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """docs with _id and _tag, the names that operators give to rows."""
+    tag = F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(65536)).cast("int")
+    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)), "_tag": tag})
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of docs that kept (id, tag) names."""
+    kept = kept.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"))
+    return _named(docs).join(kept, ["_id", "_tag"], "left_semi").select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return _only(docs, quality.quality(docs).where("kept"))
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many of them share; n_chars follows the text.  A row that loses nothing stays as it is."""
+    gone = line_dedup.dropped_lines(keyed(docs)).select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), F.col("gone").alias("_gone"))
+    changed = {"text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(line_dedup.without_lines(F.col("text"), F.col("_gone")))}
+    joined = _named(docs).join(gone, ["_id", "_tag"], "left").withColumns(changed)
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+    return joined.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of least doc_id, of each group of near copies."""
+    found = simhash.near_duplicates(docs)
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print "), F.col("fingerprint")))
+    first = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "tag")).alias("first"))
+    kept = first.select(F.col("first.id").alias("_id"), F.col("first.tag").alias("_tag"))
+    turn = F.row_number().over(Window.partitionBy("_id", "_tag").orderBy("_id"))  # of repeated rows one stays
+    return _named(docs).join(kept, ["_id", "_tag"], "left_semi").withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a word of any benchmark window."""
+    found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _only(docs, found.where("not contaminated"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their source's size and target in words, and the words of each that the mix takes, repeats counted."""
+    mixed = mixing.mix(docs).documents
+    source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    keys = [F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("tag").alias("_tag"), source.alias("_source")]
+    # Repeated rows share a key: each gets one of the numbers taken for it.
+    taken = mixed.select(*keys, "size", "source_size", "target", "taken").groupBy("_id", "_tag", "_source", "size", "source_size", "target").agg(F.sort_array(F.collect_list("taken")).alias("_taken"))
+    turn = F.row_number().over(Window.partitionBy("_id", "_tag", "_source").orderBy("_id"))
+    rows = _named(docs).withColumn("_source", source).join(taken.withColumnsRenamed({x: f"_{x}" for x in ("size", "source_size", "target")}), ["_id", "_tag", "_source"])
+    rows = rows.withColumn("_turn", turn)
+    added = [F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.element_at("_taken", F.col("_turn")).alias("taken")]
+    return rows.select(*docs.columns, *added)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup_stage),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix_sources),
+]
+
+#: Perplexity, SimHash and the mix's permutations are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir, each cut off from its lineage."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

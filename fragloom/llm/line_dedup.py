@@ -88,7 +88,7 @@ def batch_lines(lines: DataFrame) -> DataFrame:
     return lines.select("hash", "id").distinct().groupBy("hash").agg(F.count("*").alias("n_docs"), F.max("id").alias("last"))
 
 
-def dropped_lines(rows: DataFrame, least_chars: int, least_docs: int, batches: int, fanout: int) -> DataFrame:
+def dropped_lines(rows: DataFrame, least_chars: int = 40, least_docs: int = 5, batches: int = 4, fanout: int = 3) -> DataFrame:
     """id, tag, gone: places of the lines that each document loses."""
     lines = materialise(line_hashes(rows, least_chars))
     runs = LineRuns(fanout)
@@ -103,13 +103,19 @@ def dropped_lines(rows: DataFrame, least_chars: int, least_docs: int, batches: i
     return gone.groupBy("id", "tag").agg(F.collect_set("pos").alias("gone"))
 
 
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines at the places ``gone``."""
+    lines = lines_of(text)
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.array_join(F.transform(left, lambda i: lines[i]), "\n")
+
+
 def line_dedup(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, batches: int = 4, fanout: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, id, tag, n_lines, n_dropped, kept_text: each document without the lines that it loses."""
     rows = S.keyed(docs, id_col, text_col)
     gone = dropped_lines(rows, least_chars, least_docs, batches, fanout)
     joined = rows.join(gone, ["id", "tag"], "left").withColumn("lines", lines_of(F.col("text")))
-    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
-    kept = F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(F.transform(left, lambda i: F.col("lines")[i]), "\n"))
+    kept = F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(without_lines(F.col("text"), F.col("gone")))
     dropped = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone"))
     return joined.select("doc_id", "id", "tag", F.size("lines").cast("bigint").alias("n_lines"), dropped.cast("bigint").alias("n_dropped"), kept.alias("kept_text"))
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fragloom.llm.storage import materialise
 
-BLOCK_WORDS, SHARD_SLOTS, MOST, SEED = 256, 4096, 3, 17
+BLOCK_WORDS, SHARD_SLOTS, MOST, SEED = 128, 8192, 3, 17
 RUN = 4096  # slots that one row spells out
 
 

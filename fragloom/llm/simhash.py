@@ -59,7 +59,7 @@ def fingerprints(data, bounds):
 def _print(batches):
     for rows, data, bounds in A.text_chunks(batches):
         prints = fingerprints(data, bounds).view(np.int64)
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(prints, pa.int64())], names=["doc_id", "print"])
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("tag"), pa.array(prints, pa.int64())], names=["doc_id", "tag", "print"])
 
 
 def _segments(bits, parts):
@@ -122,12 +122,12 @@ def least_members(n, a, b):
 
 def _block(far):
     def stars(table: pa.Table) -> pa.Table:
-        names, prints, ids = (A.integers(table.column(x).combine_chunks()) for x in ("block", "print", "id"))
-        order = np.lexsort((ids, names))
-        names, prints, ids = names[order], prints[order].view(np.uint64), ids[order]
-        a, b = linked(prints, names, far)
-        # The same class stands in many of the bucket's blocks: join them up by id.
-        classes, place = np.unique(ids, return_inverse=True)
+        names, prints = (A.integers(table.column(x).combine_chunks()) for x in ("block", "print"))
+        order = np.lexsort((prints, names))
+        names, prints = names[order], prints[order]
+        a, b = linked(prints.view(np.uint64), names, far)
+        # The same class may stand in several of the bucket's blocks: join them up.
+        classes, place = np.unique(prints, return_inverse=True)
         root = least_members(len(classes), place[a], place[b])
         moved = np.flatnonzero(root != np.arange(len(classes)))
         return pa.table({"u": pa.array(classes[moved], pa.int64()), "v": pa.array(classes[root[moved]], pa.int64())})
@@ -136,31 +136,33 @@ def _block(far):
 
 
 def links(classes: DataFrame, far: int = FAR, tile: int = TILE) -> DataFrame:
-    """u, v: links (ids of classes) that connect just what all links within reach connect.  classes: print, id."""
+    """u, v: links between prints that connect just what all links within reach connect.  classes: print, each once."""
     spark = classes.sparkSession
     masks = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(x).cast("bigint").alias("mask")) for i, x in enumerate(block_masks(far))))
-    blocks = classes.select("print", "id", F.explode(masks).alias("m")).select("print", "id", F.xxhash64("m.i", F.col("print").bitwiseAND(F.col("m.mask"))).alias("block"))
+    blocks = classes.select("print", F.explode(masks).alias("m")).select("print", F.xxhash64("m.i", F.col("print").bitwiseAND(F.col("m.mask"))).alias("block"))
     large = blocks.groupBy("block").count().where(F.col("count") > tile).select("block", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
     dealt = blocks.join(large, "block", "left")
-    whole = dealt.where("tiles is null").select("block", "print", "id")
+    whole = dealt.where("tiles is null").select("block", "print")
     mine = F.pmod(F.xxhash64("print"), F.col("tiles")).cast("int")
-    parts = dealt.where("tiles is not null").select("block", "print", "id", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    parts = parts.select(F.xxhash64("block", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"), "print", "id")
+    parts = dealt.where("tiles is not null").select("block", "print", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    parts = parts.select(F.xxhash64("block", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"), "print")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    every = whole.unionByName(parts).select("block", "print", "id", F.pmod(F.xxhash64("block"), F.lit(buckets)).alias("bucket"))
+    every = whole.unionByName(parts).select("block", "print", F.pmod(F.xxhash64("block"), F.lit(buckets)).alias("bucket"))
     return every.groupBy("bucket").applyInArrow(_block(far), "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, far: int = FAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the least doc_id that links reach."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    printed = materialise(rows.mapInArrow(_print, "doc_id bigint, print bigint"))
+    """doc_id, tag, fingerprint (16 hex digits), component_id: the least doc_id that links reach."""
+    rows = S.keyed(docs, id_col, text_col).select("doc_id", "tag", "text")
+    printed = materialise(rows.mapInArrow(_print, "doc_id bigint, tag int, print bigint"))
     classes = materialise(printed.groupBy("print").agg(F.min(F.coalesce("doc_id", F.lit(S.NULL_ID))).alias("id")))
-    roots = components(links(classes, far))
-    of = classes.join(roots, classes["id"] == roots["node"], "left").select("print", F.coalesce("root", "id").alias("component"))
+    roots = components(links(classes.select("print"), far)).withColumnRenamed("node", "print")
+    rooted = classes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    least = rooted.groupBy("root").agg(F.min("id").alias("component"))
+    of = rooted.join(least, "root").select("print", "component")
     joined = printed.join(of, "print", "left")
-    return joined.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.when(F.col("component") != S.NULL_ID, F.col("component")).alias("component_id"))
+    return joined.select("doc_id", "tag", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.when(F.col("component") != S.NULL_ID, F.col("component")).alias("component_id"))
 
 
 def query(spark, sf_dir):
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("tag")
