@@ -11,7 +11,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+# Bounds a worker's arrays: some twenty bytes for each byte of text.
+CHUNK_BYTES = 2 << 20
 
 #: Multipliers of a polynomial hash modulo 2**64 and of its finaliser.
 _BASE = 0x9E3779B97F4A7C15
@@ -62,11 +63,36 @@ def mix(h):
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
+#: The primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turn(x, k):
+    return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+
+
+def xxhash64(values):
+    """Spark's xxhash64 of bigint values, as unsigned integers."""
+    with np.errstate(over="ignore"):
+        h = np.uint64(42 + 8) + _P5 ^ _turn(values.astype(np.int64).view(np.uint64) * _P2, 31) * _P1
+        h = _turn(h, 27) * _P1 + _P4
+        h ^= h >> np.uint64(33)
+        h *= _P2
+        h ^= h >> np.uint64(29)
+        h *= _P3
+        return h ^ h >> np.uint64(32)
+
+
+def part_of(ids, n):
+    """pmod(xxhash64(id), n), as Spark has it."""
+    return np.mod(xxhash64(ids).view(np.int64), n)
+
+
 def _power(kind, n):
     have = _powers.get(kind)
     if have is None or len(have) < n:
         base = _BASE if kind == "up" else pow(_BASE, -1, 1 << 64)
-        size = max(1 << 16, 1 << int(n).bit_length())
+        size = max(1 << 16, 1 << int(n - 1).bit_length())
         with np.errstate(over="ignore"):
             have = np.full(size, np.uint64(base), np.uint64)
             have[0] = 1
@@ -155,11 +181,8 @@ def covered(n, starts, ends):
 
 def big_words(data):
     """At each place the next eight bytes as one big-endian integer (zeros after the end)."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    out = np.zeros(len(data) + 1, np.uint64)
-    for k in range(8):
-        out |= padded[k : k + len(out)] << np.uint64(56 - 8 * k)
-    return out
+    padded = np.concatenate([data, np.zeros(9, np.uint8)])
+    return np.ndarray(len(data) + 1, ">u8", padded, strides=(1,))
 
 
 def same_bytes(blocks, a, b, lengths):
@@ -174,7 +197,7 @@ def same_bytes(blocks, a, b, lengths):
         if not len(live):
             break
         differ = blocks[np.minimum(a[live] + at, last)] ^ blocks[np.minimum(b[live] + at, last)]
-        differ >>= (8 * np.maximum(0, 8 - left)).astype(np.uint64)
+        differ = differ >> (8 * np.maximum(0, 8 - left)).astype(np.uint64)
         bad = differ != 0
         same[live[bad]] = False
         live = live[~bad]

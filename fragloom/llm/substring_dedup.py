@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fragloom.llm import arrays as A
+from fragloom.llm import blobs as B
 from fragloom.llm import spans as S
 from fragloom.llm import superkmer as K
 
@@ -39,7 +40,7 @@ def _packer(k, m, n_buckets):
                 continue
             begin, end = at[first], stop[last + k - 1]
             ids, tags = A.integers(rows.column("id")), A.integers(rows.column("tag"))
-            yield K.packed_batch(K.pack(text, begin, end, first, last + k - first, at[gram] - begin, grams[gram], A.owners(word_bounds)[first], ids, tags, word_bounds, n_buckets, True))
+            yield B.batch(list(K.pack(text, begin, end, first, last + k - first, at[gram] - begin, grams[gram], A.owners(word_bounds)[first], ids, tags, word_bounds, n_buckets, True)), "bucket")
 
     return pack
 

@@ -14,12 +14,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 
 from fragloom.llm import arrays as A
+from fragloom.llm import blobs as B
 
-#: What a bucket's blob holds of each string, besides the bytes.
-FIELDS = (("length", np.uint32), ("id", np.int64), ("tag", np.uint16), ("start", np.uint32), ("gram", np.uint32))
 SPANS = pa.schema([("id", pa.int64()), ("tag", pa.int32()), ("s", pa.int64()), ("e", pa.int64())])
 PACKED, FOUND = "bucket int, blob binary", "id bigint, tag int, s bigint, e bigint"
 
@@ -70,38 +68,32 @@ def pack(data, byte_at, byte_end, first, units, gram_at, gram_hash, rows, ids, t
     filled = np.flatnonzero(np.diff(bounds))
     owner, s, e = runs(gone, bounds[filled])
     owner = filled[owner]
-    spans = np.stack([ids[owner], tags[owner], s, e + 1], axis=1)
     buckets = (A.mix(gram_hash[rest]) % np.uint64(n_buckets)).astype(np.int64)
     by = np.lexsort((start[rest], own[rest], buckets))
     rest, buckets = rest[by], buckets[by]
-    fields = {"length": lengths, "id": own, "tag": tags[rows], "start": start, "gram": gram_at}
-    packer, used = zstandard.ZstdCompressor(level=3), np.unique(buckets)
+    used = np.unique(buckets)
     for turn, part in enumerate(np.split(rest, np.flatnonzero(np.diff(buckets)) + 1)):
-        ride = spans[turn :: len(used)]
-        body = [np.array([len(part), len(ride)], np.uint32).tobytes(), np.ascontiguousarray(ride.T).tobytes()]
-        body += [fields[name][part].astype(kind).tobytes() for name, kind in FIELDS]
-        body.append(data[A.spread(byte_at[part], lengths[part])].tobytes())
-        yield int(used[turn]), packer.compress(b"".join(body))
-
-
-def packed_batch(rows):
-    buckets, blobs = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
-
-
-def unpack(blobs):
-    """(bytes, fields, spans): all strings of a bucket's blobs end to end, FIELDS as arrays with ``at``, where each begins, and the settled spans."""
-    reader, parts, data, spans = zstandard.ZstdDecompressor(), {name: [] for name, _ in FIELDS}, [], []
-    for blob in blobs:
-        body = reader.decompress(blob.as_py())
-        n, m = np.frombuffer(body, np.uint32, 2).astype(int)
-        spans.append(np.frombuffer(body, np.int64, 4 * m, 8).reshape(4, m))
-        at = 8 + 32 * m
-        for name, kind in FIELDS:
-            parts[name].append(np.frombuffer(body, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-        data.append(np.frombuffer(body, np.uint8, len(body) - at, at))
-    fields = {name: np.concatenate(x).astype(np.int64) for name, x in parts.items()}
+        ride = slice(turn, None, len(used))
+        table, row = np.unique(rows[part], return_inverse=True)
+        yield (
+            int(used[turn]),
+            B.dump(
+                ids[owner[ride]], tags[owner[ride]].astype(np.uint16), s[ride].astype(np.uint32), (e[ride] + 1).astype(np.uint32),
+                ids[table], tags[table].astype(np.uint16), row.astype(np.uint32),
+                lengths[part].astype(np.uint32), start[part].astype(np.uint32), gram_at[part].astype(np.uint32), data[A.spread(byte_at[part], lengths[part])],
+            ),
+        )
+
+
+def unpack(column):
+    """(bytes, fields, spans): all strings of a bucket's blobs end to end, with id, tag, length, start, gram (the minimiser's place) and at (where it begins) of each, and the settled spans."""
+    data, spans, parts = [], [], []
+    for blob in column:
+        *ride, table, tags, row, length, start, gram, body = B.load(blob.as_py())
+        spans.append(np.stack([x.astype(np.int64) for x in ride]))
+        parts.append([table[row], tags[row], length, start, gram])
+        data.append(body)
+    fields = dict(zip(("id", "tag", "length", "start", "gram"), (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True)), strict=True))
     fields["at"] = np.cumsum(fields["length"]) - fields["length"]
     return np.concatenate(data), fields, np.concatenate(spans, axis=1)
 
@@ -133,4 +125,4 @@ def in_buckets(docs, packer, bucket):
 
 def bucket_count(spark, n_buckets=None):
     """Buckets follow the number of shuffle partitions, which follows the input."""
-    return n_buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return n_buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
