@@ -10,19 +10,29 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fragloom.llm import decontamination, line_dedup, mixing, quality, simhash
 from fragloom.llm.spans import NULL_ID, keyed
-from fragloom.llm.storage import materialise
+from fragloom.storage import materialise
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    """docs with _id and _tag, the names that operators give to rows."""
-    tag = F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(65536)).cast("int")
-    return docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)), "_tag": tag})
+class _Rows:
+    """The rows of a table with _id and _tag, the names that operators give to rows; its own columns stand under their places, so none can clash."""
+
+    def __init__(self, docs: DataFrame):
+        self.names = docs.columns
+        plain = docs.toDF(*(f"c{i}" for i in range(len(self.names))))
+        tag = F.pmod(F.xxhash64(plain[self.place("text")].cast("string")), F.lit(65536)).cast("int")
+        self.frame = plain.withColumns({"_id": F.coalesce(plain[self.place("doc_id")].cast("bigint"), F.lit(NULL_ID)), "_tag": tag})
+
+    def place(self, name: str) -> str:
+        return f"c{self.names.index(name)}"
+
+    def restored(self, frame: DataFrame) -> DataFrame:
+        return frame.select(*(f"c{i}" for i in range(len(self.names)))).toDF(*self.names)
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of docs that kept (id, tag) names."""
-    kept = kept.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"))
-    return _named(docs).join(kept, ["_id", "_tag"], "left_semi").select(*docs.columns)
+    rows = _Rows(docs)
+    return rows.restored(rows.frame.join(kept.select(F.col("id").alias("_id"), F.col("tag").alias("_tag")), ["_id", "_tag"], "left_semi"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,11 +43,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many of them share; n_chars follows the text.  A row that loses nothing stays as it is."""
     gone = line_dedup.dropped_lines(keyed(docs)).select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), F.col("gone").alias("_gone"))
-    changed = {"text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(line_dedup.without_lines(F.col("text"), F.col("_gone")))}
-    joined = _named(docs).join(gone, ["_id", "_tag"], "left").withColumns(changed)
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return joined.select(*docs.columns)
+    rows = _Rows(docs)
+    text, lost = rows.place("text"), F.col("_gone").isNotNull()
+    joined = rows.frame.join(gone, ["_id", "_tag"], "left").withColumn(text, F.when(lost, line_dedup.without_lines(F.col(text), F.col("_gone"))).otherwise(F.col(text)))
+    if "n_chars" in rows.names:
+        chars = rows.place("n_chars")
+        joined = joined.withColumn(chars, F.when(lost, F.length(text).cast("bigint")).otherwise(F.col(chars)))
+    return rows.restored(joined)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +58,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print "), F.col("fingerprint")))
     first = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "tag")).alias("first"))
     kept = first.select(F.col("first.id").alias("_id"), F.col("first.tag").alias("_tag"))
+    rows = _Rows(docs)
     turn = F.row_number().over(Window.partitionBy("_id", "_tag").orderBy("_id"))  # of repeated rows one stays
-    return _named(docs).join(kept, ["_id", "_tag"], "left_semi").withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)
+    return rows.restored(rows.frame.join(kept, ["_id", "_tag"], "left_semi").withColumn("_turn", turn).where("_turn = 1"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,18 +69,24 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _only(docs, found.where("not contaminated"))
 
 
+ADDED = ["size", "source_size", "target", "taken"]
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their source's size and target in words, and the words of each that the mix takes, repeats counted."""
+    """The documents with ADDED: their size and their source's size and target in words, and the words of each that the mix takes, repeats counted.
+
+    A column of docs with one of these names is replaced.
+    """
     mixed = mixing.mix(docs).documents
-    source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    keys = [F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("tag").alias("_tag"), source.alias("_source")]
+    key = lambda column: F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("")).alias("_source")
     # Repeated rows share a key: each gets one of the numbers taken for it.
-    taken = mixed.select(*keys, "size", "source_size", "target", "taken").groupBy("_id", "_tag", "_source", "size", "source_size", "target").agg(F.sort_array(F.collect_list("taken")).alias("_taken"))
+    named = mixed.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("tag").alias("_tag"), key(F.col("source")), *(F.col(x).alias(f"_{x}") for x in ADDED))
+    taken = named.groupBy("_id", "_tag", "_source", "_size", "_source_size", "_target").agg(F.sort_array(F.collect_list("_taken")).alias("_taken"))
+    docs = docs.select(*(docs[x] for x in docs.columns if x.lower() not in ADDED))
+    rows = _Rows(docs)
     turn = F.row_number().over(Window.partitionBy("_id", "_tag", "_source").orderBy("_id"))
-    rows = _named(docs).withColumn("_source", source).join(taken.withColumnsRenamed({x: f"_{x}" for x in ("size", "source_size", "target")}), ["_id", "_tag", "_source"])
-    rows = rows.withColumn("_turn", turn)
-    added = [F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.element_at("_taken", F.col("_turn")).alias("taken")]
-    return rows.select(*docs.columns, *added)
+    joined = rows.frame.withColumn("_source", key(F.col(rows.place("source")))).join(taken, ["_id", "_tag", "_source"]).withColumn("_taken", F.element_at("_taken", turn))
+    return joined.select(*(f"c{i}" for i in range(len(rows.names))), *(f"_{x}" for x in ADDED)).toDF(*rows.names, *ADDED)
 
 
 STAGES = [

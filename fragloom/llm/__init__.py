@@ -1,11 +1 @@
-"""Operators of a training-data pipeline: one module for each, queries in ``queries``, SQL in ``oracles``.
-
-Functions that run on executors are pickled by value, so a cluster needs no installed copy
-of this package beyond the libraries that it imports.
-"""
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+"""Operators of a training-data pipeline: one module for each, queries in ``queries``, SQL in ``oracles``."""

@@ -23,7 +23,15 @@ WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-_powers: dict[str, np.ndarray] = {}
+
+class _Cache(dict):
+    """What a process works out once; it never travels with a function."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_powers: dict[str, np.ndarray] = _Cache()
 
 
 def text_chunks(batches, column="text", limit=CHUNK_BYTES):

@@ -20,7 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fragloom.llm.storage import materialise
+from fragloom.llm.spans import picked
+from fragloom.storage import materialise
 
 PART_TURNS = 256
 LAST = (1 << 63) - 1
@@ -35,7 +36,7 @@ def keyed_turns(turns: DataFrame, part_turns: int) -> DataFrame:
     role, text = F.col("role").cast("string"), F.col("text").cast("string")
     content = [role.isNull(), F.coalesce(role, F.lit("")), text.isNull(), F.coalesce(text, F.lit(""))]
     turn = F.col("turn").cast("bigint")
-    return turns.select(
+    return picked(turns, conv_id="conv_id", turn="turn", role="role", text="text").select(
         F.coalesce(F.col("conv_id").cast("bigint"), F.lit(LAST)).alias("conv"),
         F.coalesce(turn, F.lit(LAST)).alias("turn"),
         F.floor(F.coalesce(turn, F.lit(LAST)) / part_turns).alias("part"),

@@ -138,7 +138,7 @@ def _search(model):
     """Batches of (doc_id, text) to hit spans and item names."""
 
     def search(batches):
-        names, matchers = model.value
+        names, matchers = S.received(model)
         for rows, data, bounds in A.text_chunks(batches):
             text, at, stop, word_bounds, hashes = tokenised(data, bounds)
             place, length, item = [], [], []
@@ -186,13 +186,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 10, pass_bytes
     """doc_id, id, tag, n_words, n_hit, n_items, items_sha256, contaminated, spans (hit words) and items (names) for each document."""
     spark = docs.sparkSession
     rows = S.keyed(docs, id_col, text_col)
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text").cast("string").alias("text"))
+    items = S.picked(benchmark, item_id="item_id", text="text").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-int(size) // pass_bytes))
     found = []
     for i in range(passes):
         part = items if passes == 1 else items.where(F.pmod(F.xxhash64("name", "text"), F.lit(passes)) == i)
-        model = spark.sparkContext.broadcast(build([tuple(x) for x in part.collect()], k))
+        model = S.sent(spark, build([tuple(x) for x in part.collect()], k))
         found.append(rows.mapInArrow(_search(model), FOUND))
     if passes > 1:
         every = found[0]

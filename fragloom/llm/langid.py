@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.llm import arrays as A
+from fragloom.llm.spans import picked, received, sent
 
 PER_LANGUAGE, LANDMARKS, LANGUAGES, RIDGE = 200, 32, 100, 1e-3
 
@@ -115,7 +116,7 @@ class Model:
 
 def _predict(model):
     def predict(batches):
-        m = model.value
+        m = received(model)
         names = np.array([*m.languages, "und"], object)
         for rows, data, bounds in A.text_chunks(_small(batches), limit=CHUNK_BYTES):
             n = rows.num_rows
@@ -138,26 +139,25 @@ def _small(batches):
 
 def _rows(docs, id_col, text_col):
     """doc_id, held_out, text and whether it has a letter."""
-    text, key = F.col(text_col).cast("string"), F.col(id_col).cast("string")
+    text, key = F.col("text").cast("string"), F.col("doc_id").cast("string")
     held_out = F.coalesce(F.crc32(key.cast("binary")) % 5 == 0, F.lit(False))
-    return docs.withColumns({"_id": F.col(id_col).cast("bigint"), "_out": held_out, "_text": text}).select(
-        F.col("_id").alias("doc_id"), F.col("_out").alias("held_out"), F.col("_text").alias("text"), F.col("_text").rlike(r"\p{L}").alias("letters")
-    )
+    return picked(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), held_out.alias("held_out"), text.alias("text"), text.rlike(r"\p{L}").alias("letters"))
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, languages: int = LANGUAGES, ridge: float = RIDGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from a bounded sample: the per_language documents of least hash of each of the most frequent languages, held-out ones left out."""
-    key = F.col(id_col).cast("string")
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & (F.crc32(key.cast("binary")) % 5 != 0))
-    labelled = labelled.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
+    docs = picked(docs, doc_id=id_col, text=text_col, lang=lang_col)
+    learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    labelled = docs.where("lang is not null and doc_id is not null and text is not null").where(learned)
+    labelled = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     most = [x[0] for x in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = labelled.where(F.col("lang").isin(most)) if most else labelled.where("false")
     # The rank filter goes below the shuffle, so a frequent language does not gather in one task.
     chosen = chosen.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language).select(F.col("doc_id").alias("_id"), "lang", "rank")
-    texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    picked = texts.join(F.broadcast(chosen), "_id").select(F.col("_id").alias("doc_id"), "lang", "rank", "text")
-    sample = picked.mapInArrow(_codes, "lang string, rank int, doc_id bigint, codes array<int>").collect()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    training = texts.join(F.broadcast(chosen), "_id").select(F.col("_id").alias("doc_id"), "lang", "rank", "text")
+    sample = training.mapInArrow(_codes, "lang string, rank int, doc_id bigint, codes array<int>").collect()
     sample = sorted((x.lang, x.rank, x.doc_id, tuple(x.codes)) for x in sample)
     return Model([(lang, rank, np.array(codes, np.int64)) for lang, rank, _, codes in sample], landmarks, ridge)
 
@@ -165,8 +165,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LA
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score of each document."""
     model = model or train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    return _rows(docs, id_col, text_col).mapInArrow(_predict(sent), "doc_id bigint, held_out boolean, lang_pred string, score double")
+    model = sent(docs.sparkSession, model)
+    return _rows(docs, id_col, text_col).mapInArrow(_predict(model), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def query(spark, sf_dir):

@@ -25,7 +25,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fragloom.llm.storage import materialise
+from fragloom.llm.spans import picked
+from fragloom.storage import materialise
 
 BLOCK_WORDS, SHARD_SLOTS, MOST, SEED = 128, 8192, 3, 17
 RUN = 4096  # slots that one row spells out
@@ -113,10 +114,11 @@ def slot_table(goals: DataFrame, seed: int, shard_slots: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, most: int = MOST, seed: int = SEED, shard_slots: int = SHARD_SLOTS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Mix:
-    text = F.col(text_col).cast("string")
+    docs = picked(docs, doc_id=id_col, text=text_col, source=source_col)
+    text = F.col("text").cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
     tag = F.pmod(F.xxhash64(text), F.lit(65536)).cast("int")
-    sized = materialise(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), tag.alias("tag"), F.col(source_col).cast("string").alias("source"), size.alias("size")))
+    sized = materialise(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), tag.alias("tag"), F.col("source").cast("string").alias("source"), size.alias("size")))
     goals = materialise(targets(sized, most))
     blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")
     slots = F.when(F.col("source_size") > 0, F.round(F.col("target") * blocks / F.col("source_size"))).otherwise(0).cast("bigint")

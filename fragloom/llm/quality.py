@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fragloom.llm import arrays as A
 from fragloom.llm import spans as S
-from fragloom.llm.storage import materialise
+from fragloom.storage import materialise
 
 CLASSES, ORDER = 64, 3
 POOL_SHARE = 0.05
@@ -216,7 +216,7 @@ def measures(data, bounds):
 
 def _score(models):
     def score(batches):
-        of = models.value
+        of = S.received(models)
         for rows, data, bounds in A.text_chunks(batches):
             base = measures(data, bounds)
             codes, at = trigrams(data, bounds)
@@ -279,9 +279,8 @@ def _median(value, weight):
 
 def quality(docs: DataFrame, width: float = 8.0, least_width: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, id, tag, the base measures, base_failed, perplexity, its band (ppl_low, ppl_high) and kept, for each document."""
-    lang = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = lang.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(S.NULL_ID)).alias("id"), F.pmod(F.xxhash64("text"), F.lit(65536)).cast("int").alias("tag"), F.col("text").cast("string").alias("text"), "lang")
-    models = docs.sparkSession.sparkContext.broadcast(train(rows))
+    rows = S.picked(docs, doc_id=id_col, text=text_col, lang=lang_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(S.NULL_ID)).alias("id"), F.pmod(F.xxhash64("text"), F.lit(65536)).cast("int").alias("tag"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    models = S.sent(docs.sparkSession, train(rows))
     scored = materialise(rows.mapInArrow(_score(models), SCORED))
     band = bands(scored, width, least_width)
     judged = scored.join(F.broadcast(band), scored["pool"].eqNullSafe(band["pool"]), "left").drop(band["pool"])

@@ -7,18 +7,36 @@ their own.  A null doc_id counts as the greatest one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pickle
+
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: The key that stands for a null doc_id: the greatest.
 NULL_ID = (1 << 63) - 1
 
 
+def sent(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of something whose class executors need not have; received() takes it out.  Callers bound its size."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast: Broadcast):
+    return pickle.loads(broadcast.value)
+
+
+def picked(docs: DataFrame, **names: str) -> DataFrame:
+    """Just the columns wanted, under new names: new=old.  Found by their exact names and by place, so no other column of ``docs`` can clash."""
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.select(*(F.col(f"c{docs.columns.index(old)}").alias(new) for new, old in names.items()))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, id, tag, text; nothing else of ``docs`` is read."""
-    text = F.col(text_col).cast("string")
-    return docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("id"),
+    text = F.col("text").cast("string")
+    return picked(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("id"),
         F.pmod(F.xxhash64(text), F.lit(65536)).cast("int").alias("tag"),
         text.alias("text"),
     )

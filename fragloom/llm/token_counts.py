@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fragloom.llm import arrays as A
+from fragloom.llm.spans import picked, received, sent
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -122,7 +123,7 @@ class Automaton:
 
 def _counter(model):
     def count(batches):
-        automaton = model.value
+        automaton = received(model)
         for rows, data, bounds in A.text_chunks(batches):
             starts, ends, word_bounds = A.words(data, bounds)
             hashes = A.span_hash(A.prefix(A.BYTE_VALUES[data]), starts, ends)
@@ -139,8 +140,8 @@ def _counter(model):
 def token_counts(docs: DataFrame, vocabulary: str | list[bytes] = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_words, n_tokens of each document.  vocabulary: a rank file that the driver reads, or the pieces."""
     pieces = read_vocabulary(vocabulary) if isinstance(vocabulary, str) else vocabulary
-    model = docs.sparkSession.sparkContext.broadcast(Automaton(pieces))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    model = sent(docs.sparkSession, Automaton(pieces))
+    rows = picked(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return rows.mapInArrow(_counter(model), "doc_id bigint, n_bytes bigint, n_words bigint, n_tokens bigint")
 
 
