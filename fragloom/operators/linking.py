@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fragloom.operators.fragments import person_fields
 from fragloom.operators.schema import FIELDS
+from fragloom.storage import materialise
 
 LIFETIME_S, LEAST_FRAGMENTS, ALIAS_LIVES = 300, 2, 3
 
@@ -24,6 +25,7 @@ def with_buffer_key(fragments: DataFrame, lifetime: float = LIFETIME_S) -> DataF
 
     Rows without a name are kept out of the lookup: they would all meet in one partition.
     """
+    fragments = materialise(fragments)  # both branches below read it
     own = F.col("match_key").startswith("name:")
     registers = (F.col("fragment_type") == "personal") & F.col("match_key").startswith("passport:") & (F.col("name") != "")
     prepared = fragments.withColumns({"_alias": F.when(own, F.expr("substring(match_key, 6)")).when(registers, F.col("name")), "_key": F.when(registers, F.col("match_key"))})
