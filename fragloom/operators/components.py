@@ -23,8 +23,10 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # Joined on ~u, which makes the join shuffle for itself: those shuffles AQE may split where a node
+        # has very many links, which it may not do to one that an aggregate below relies on.
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.bitwise_not("u").alias("k"), F.least("u", "m").alias("m"))
+        large = both.where("v > u").withColumn("k", F.bitwise_not("u")).join(least, "k").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(below, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
         edges = materialise(small.where("u <> v").distinct())
