@@ -98,7 +98,8 @@ def dropped_lines(rows: DataFrame, least_chars: int = 40, least_docs: int = 5, b
         # Known lines add to what the runs hold of them, fresh ones are new to them; both are this batch's run.
         known = batch.join(fresh.select("hash").hint("merge"), "hash", "left_anti") if runs.runs else fresh.limit(0)
         runs.add(fresh.unionByName(known))
-    often = runs.totals().where(F.col("n_docs") >= least_docs).select("hash", "last")
+    # Written, so that the join below shuffles for itself: AQE may then split a line that very many documents hold.
+    often = materialise(runs.totals().where(F.col("n_docs") >= least_docs).select("hash", "last"))
     gone = lines.join(often, "hash").where(F.col("id") != F.col("last"))
     return gone.groupBy("id", "tag").agg(F.collect_set("pos").alias("gone"))
 
