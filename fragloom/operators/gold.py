@@ -8,7 +8,6 @@ from fragloom.operators.reconcile import unsettled
 from fragloom.operators.schema import COMPLETENESS_FIELDS, FIELDS, LEAST_FILLED, REQUIRED_FIELDS
 
 TOP = 50
-MEMBER = "array<struct<person_id:bigint,full_name:string,city:string,company:string>>"
 
 
 def filled_count() -> Column:
@@ -55,3 +54,8 @@ def gold_groups(groups: DataFrame, persons: DataFrame, reviews: DataFrame) -> Da
     member = F.struct("person_id", "full_name", "city", "company")
     out = members.groupBy("group_id").agg(F.count("*").alias("member_count"), F.max("confidence").alias("max_confidence"), F.max_by("reason", F.struct("confidence", -F.col("person_id"))).alias("reason"), F.array_sort(F.collect_list(member)).alias("members"))
     return out.where("member_count >= 2")
+
+
+def members_json(groups: DataFrame) -> DataFrame:
+    """groups with their members as JSON text, nulls written out: the form that the API hands on."""
+    return groups.withColumn("members", F.to_json("members", {"ignoreNullFields": "false"}))

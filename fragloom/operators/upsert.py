@@ -38,12 +38,18 @@ def with_ids(rows: DataFrame, chunk: int = 100_000) -> DataFrame:
     Rows are counted in ranges of seq first, so no task orders more than a range of them.
     """
     known = rows.where("id is not null")
-    top = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
+    top = known.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     new = rows.where("id is null").withColumn("range", F.floor(F.col("place.seq") / chunk))
     counts = new.groupBy("range").count()
     base = counts.select("range", (F.sum("count").over(Window.orderBy("range")) - F.col("count")).alias("base"))
     ranked = new.join(base, "range").withColumn("id", F.col("base") + F.row_number().over(Window.partitionBy("range").orderBy("place", "match_key")))
-    return known.unionByName(ranked.crossJoin(F.broadcast(top)).withColumn("id", F.col("id") + F.col("top")).select(*known.columns))
+    return known.unionByName(ranked.withColumn("id", F.col("id") + top).select(*known.columns))
+
+
+def backfill_names(persons: DataFrame) -> DataFrame:
+    """persons with the canonical name worked out where there is a full name but no canonical one yet."""
+    missing = F.col("full_name").isNotNull() & (F.coalesce("norm_name", F.lit("")) == "")
+    return persons.withColumn("norm_name", F.when(missing, norm_name(F.col("full_name"))).otherwise(F.col("norm_name")))
 
 
 def upsert_reviews(decisions: DataFrame, existing: DataFrame) -> DataFrame:

@@ -122,11 +122,10 @@ def gold_stats(table: DataFrame | None) -> dict:
 
 def medallion(bronze: DataFrame | None, silver: DataFrame, gold: DataFrame) -> DataFrame:
     """bronze, silver and gold counts, and raw rows a person; a layer that cannot be read is null."""
-    one = silver.agg(F.count("*").alias("silver")).crossJoin(gold.agg(F.count("*").alias("gold")))
-    if bronze is None:
-        return one.select(F.lit(None).cast("bigint").alias("bronze"), "silver", "gold", F.lit(None).cast("double").alias("ratio"))
-    both = bronze.agg(F.count("*").alias("bronze")).crossJoin(one)
-    return both.select("bronze", "silver", "gold", (F.col("bronze") / F.greatest("silver", F.lit(1))).alias("ratio"))
+    rows = lambda df: df.agg(F.count("*")).scalar()
+    raw = F.lit(None).cast("bigint") if bronze is None else rows(bronze)
+    one = silver.sparkSession.range(1).select(raw.alias("bronze"), rows(silver).alias("silver"), rows(gold).alias("gold"))
+    return one.withColumn("ratio", F.col("bronze") / F.greatest("silver", F.lit(1)))
 
 
 def approve(reviews: DataFrame, persons: DataFrame, person_id: int, note: str | None = None) -> DataFrame:

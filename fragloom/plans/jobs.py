@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from fragloom.observability import Metrics
 from fragloom.operators import fragments, gold, linking, merge, reconcile, upsert
 from fragloom.storage import Snapshots, materialise
 
@@ -24,11 +26,18 @@ class Curated:
     gold_duplicate_groups: DataFrame
 
 
-def maintain(persons: DataFrame, reviews: DataFrame, merge_similarity: float = merge.MERGE_SIMILARITY, similarity: float = reconcile.SIMILARITY) -> Curated:
+def maintain(persons: DataFrame, reviews: DataFrame, merge_similarity: float = merge.MERGE_SIMILARITY, similarity: float = reconcile.SIMILARITY, metrics: Metrics | None = None) -> Curated:
     """All curated tables from Silver persons and review decisions, in the one order that is right."""
-    merged = materialise(merge.consolidate(persons, merge_similarity))
+    began = time.monotonic()
+    merged = materialise(merge.consolidate(upsert.backfill_names(persons), merge_similarity))
     groups = materialise(reconcile.duplicate_groups(merged, reviews, similarity))
     curated = materialise(gold.gold_persons(merged, reviews))
+    if metrics:
+        metrics.count("consolidation_merged_rows", persons.count() - merged.count())
+        metrics.gauge("duplicate_groups", groups.select("group_id").distinct().count())
+        metrics.gauge("duplicate_memberships", groups.count())
+        metrics.gauge("gold_persons", curated.count())
+        metrics.observe("maintenance_seconds", time.monotonic() - began)
     return Curated(merged, groups, curated, gold.gold_stats(curated), gold.top_values(curated, "city"), gold.top_values(curated, "company"), gold.completeness(curated), gold.gold_groups(groups, merged, reviews))
 
 

@@ -200,6 +200,9 @@ ORACLES = {
     "duplicate_groups": f"{GROUPS} select group_id, person_id, confidence, reason from groups",
     "duplicate_totals": f"{GROUPS} select count(distinct group_id) as n_groups, count(*) as n_members from groups",
     "gold_duplicate_groups": f"{GOLD_GROUPS} select * from gold_groups",
+    "backfilled_names": f"with {PERSONS} select id, norm_name from persons",
+    "group_members": f"""{GOLD_GROUPS}, m as (select group_id, unnest(string_split(members, ',')) as person_id from gold_groups)
+      select group_id, cast(to_json(list({{'person_id': id, 'full_name': full_name, 'city': city, 'company': company}} order by id)) as varchar) as members from m join persons on id = cast(person_id as bigint) group by group_id""",
     "gold_persons": f"{BOTH}, {GOLD} select id, match_key, full_name, city, completeness from gold",
     "gold_stats": f"{BOTH}, {GOLD} select count(*) as total_persons, count(passport) as with_passport, count(city) as with_city, count(company) as with_company, count(iban) as with_bank, count(ipv4) as with_ipv4, cast(count(*) filter (where passport is not null and city is not null) as bigint) as cross_linked, coalesce(avg(completeness) * 8, 0) as avg_completeness from gold",
     "gold_top_cities": f"{BOTH}, {GOLD} {_top('gold', 'city', 50)}",

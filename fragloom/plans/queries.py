@@ -66,6 +66,11 @@ def trigram_similarity(spark, sf_dir):
     return rows.select("id", F.round(trigram.similarity(trigram.trigrams(F.col("norm_name")), trigram.trigrams(F.col("other"))), 5).alias("sim"))
 
 
+def backfilled_names(spark, sf_dir):
+    gaps = F.when(F.col("id") % 3 == 0, F.lit("")).when(F.col("id") % 3 == 1, F.col("norm_name"))
+    return upsert.backfill_names(persons(spark, sf_dir).withColumn("norm_name", gaps)).select("id", "norm_name")
+
+
 # Fragments
 
 
@@ -180,6 +185,10 @@ def gold_duplicate_groups(spark, sf_dir):
     return _gold_groups(spark, sf_dir).select("group_id", "member_count", "max_confidence", "reason", F.concat_ws(",", F.transform("members", lambda m: m["person_id"].cast("string"))).alias("members"))
 
 
+def group_members(spark, sf_dir):
+    return gold.members_json(_gold_groups(spark, sf_dir)).select("group_id", "members")
+
+
 # Gold
 
 
@@ -261,7 +270,7 @@ def new_persons(spark, sf_dir):
     from fragloom.streaming.triggers import new_since
 
     rows = persons(spark, sf_dir)
-    return new_since(rows, F.timestamp_seconds(F.lit(X.EPOCH + 6000))).alias("a").crossJoin(new_since(rows, None).withColumnRenamed("n_new", "n_all"))
+    return new_since(rows, F.timestamp_seconds(F.lit(X.EPOCH + 6000))).withColumn("n_all", new_since(rows, None).scalar())
 
 
 def firing_size_quantiles(spark, sf_dir):
@@ -275,10 +284,10 @@ def maintained_gold(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    norm_names, normalized_texts, normalized_keys, salaries, masked, thousands, trigram_similarity,
+    norm_names, normalized_texts, normalized_keys, salaries, masked, thousands, trigram_similarity, backfilled_names,
     fragment_types, fragment_rejects, bronze_counts, bounded_consume, alias_links, buffer_firings, folded_persons, upserted_persons, fragment_log,
     merge_survivors, merged_persons, manual_merge, manual_merge_trace, review_upsert,
-    name_catalog, name_pairs, duplicate_groups, duplicate_totals, gold_duplicate_groups,
+    name_catalog, name_pairs, duplicate_groups, duplicate_totals, gold_duplicate_groups, group_members,
     gold_persons, gold_stats, gold_top_cities, gold_top_companies, gold_completeness, maintained_gold,
     persons_page, persons_city, person_lookup, live_stats, live_top_cities, gold_page, match_candidates, groups_page, medallion, new_persons, firing_size_quantiles,
 )}

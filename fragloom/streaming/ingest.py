@@ -9,8 +9,11 @@ once.  The clock is the messages' own time.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fragloom.observability import Metrics
 from fragloom.operators import fragments, linking, upsert
 from fragloom.sources import bronze
 from fragloom.storage import Snapshots, materialise
@@ -21,8 +24,8 @@ FRAGMENT = ["seq", "ts", "value", "message", "fragment_type", "name", "match_key
 class Ingest:
     """State under ``folder``: bronze, persons, pending, aliases, fragment_log and rejects."""
 
-    def __init__(self, spark: SparkSession, folder: str, lifetime: float = linking.LIFETIME_S, least: int = linking.LEAST_FRAGMENTS):
-        self.spark, self.folder, self.lifetime, self.least = spark, folder, lifetime, least
+    def __init__(self, spark: SparkSession, folder: str, lifetime: float = linking.LIFETIME_S, least: int = linking.LEAST_FRAGMENTS, metrics: Metrics | None = None):
+        self.spark, self.folder, self.lifetime, self.least, self.metrics = spark, folder, lifetime, least, metrics
         self.tables = {name: Snapshots(spark, f"{folder}/{name}") for name in ("persons", "pending", "aliases", "fragment_log")}
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger):
@@ -34,6 +37,7 @@ class Ingest:
         return self.tables[name].read(before=number)
 
     def batch(self, rows: DataFrame, number: int) -> None:
+        began = time.monotonic()
         classified = materialise(fragments.classify(rows))
         bronze.append(bronze.bronze_rows(classified), f"{self.folder}/bronze", number)
         fragments.rejects(classified).write.mode("overwrite").parquet(f"{self.folder}/rejects/batch={number}")
@@ -44,6 +48,16 @@ class Ingest:
         self.tables["persons"].write(persons, number)
         self._log(folded, number)
         self._carry(chunked, number)
+        if self.metrics:
+            self._measure(classified, folded, number, time.monotonic() - began)
+
+    def _measure(self, classified: DataFrame, folded: DataFrame, number: int, seconds: float) -> None:
+        for kind, n in bronze.counts(bronze.bronze_rows(classified)).collect():  # six kinds
+            self.metrics.count("messages_consumed", n, f'fragment_type="{kind}"')
+        self.metrics.count("messages_failed", fragments.rejects(classified).count())
+        self.metrics.count("consolidations", folded.count())
+        self.metrics.gauge("pending_fragments", self.tables["pending"].read(before=number + 1).count())
+        self.metrics.observe("processing_seconds", seconds)
 
     def _linked(self, new: DataFrame, number: int) -> DataFrame:
         """New fragments with their buffer keys, and pending ones, which have theirs; and the names' registrations for the next batch."""

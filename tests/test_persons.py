@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fragloom.functions.text import norm_name
+from fragloom.observability import Metrics
 from fragloom.operators import fragments, gold, linking, merge, reconcile, upsert
 from fragloom.operators.components import components
 from fragloom.operators.schema import FIELDS
@@ -230,10 +231,12 @@ def test_maintenance_publishes_whole_tables(spark, tmp_path):
     from fragloom.storage import Snapshots
 
     frame = people(spark, WHOLE, {"full_name": "Eva Sol", "passport": "Q"}, {"full_name": "eva sol"})
+    metrics = Metrics()
     for _ in range(2):
-        jobs.publish(jobs.maintain(frame, no_reviews(spark)), str(tmp_path))
+        jobs.publish(jobs.maintain(frame, no_reviews(spark), metrics=metrics), str(tmp_path))
     table = Snapshots(spark, f"{tmp_path}/persons")
     assert table.numbers() == [0, 1] and table.read().count() == 2
+    assert metrics.values["consolidation_merged_rows", ""] == 2 and metrics.values["gold_persons", ""] == 1
     table.prune(1)
     assert table.numbers() == [1]
 

@@ -2,6 +2,7 @@ import pytest
 from support import SF
 from pyspark.sql import functions as F
 
+from fragloom.observability import Metrics
 from fragloom.plans import jobs
 from fragloom.plans.queries import LIFETIME_S
 from fragloom.sources import bronze, fixtures, kafka
@@ -45,8 +46,11 @@ def fixtures_decodable(df):
 
 def test_a_batch_run_again_changes_nothing(spark, tmp_path):
     rows = fixtures.fragment_stream(spark, SF).where("seq < 300")
-    job = Ingest(spark, str(tmp_path), lifetime=LIFETIME_S)
+    metrics = Metrics()
+    job = Ingest(spark, str(tmp_path), lifetime=LIFETIME_S, metrics=metrics)
     job.batch(rows.where("seq < 150"), 0)
+    assert sum(n for (name, _), n in metrics.values.items() if name == "messages_consumed") == rows.where("seq < 150").where(fixtures_decodable(rows)).count()
+    assert metrics.values["pending_fragments", ""] > 0
     for _ in range(2):
         job.batch(rows.where("seq >= 150"), 1)
     persons, log = jobs.ingest(rows, LIFETIME_S)
