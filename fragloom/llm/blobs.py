@@ -32,16 +32,7 @@ def load(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def gaps(values):
-    """Ascending integers as differences, to take little room; summed() undoes it."""
-    return np.diff(values, prepend=values[:1] * 0)
-
-
-def summed(values):
-    return np.cumsum(values.astype(np.int64))
-
-
-def by_key(keys, n_keys, make):
+def by_key(keys, make):
     """(key, blob) rows for each key that occurs: make(places) gives the arrays of its places."""
     order = np.argsort(keys, kind="stable")
     used, first = np.unique(keys[order], return_index=True)

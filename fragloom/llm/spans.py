@@ -1,4 +1,4 @@
-"""From spans found in buckets back to documents.
+"""How operators name rows, pick columns and send models.
 
 Rows of a document table are named by (doc_id, tag): the tag is 16 bits of the text's hash,
 so repeated rows get the same spans and rows that share a doc_id with different texts get
@@ -40,23 +40,3 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.pmod(F.xxhash64(text), F.lit(65536)).cast("int").alias("tag"),
         text.alias("text"),
     )
-
-
-def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """rows with ``spans``, an array of (s, e), null where a document has none.
-
-    Spans of one document are few and bounded by its length, whatever their number in all.
-    """
-    lists = spans.groupBy("id", "tag").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
-    return rows.join(lists, ["id", "tag"], "left").select("doc_id", "text", "spans")
-
-
-def flat_spans(batch):
-    """(row, s, e) arrays of the spans column of a batch."""
-    import numpy as np
-
-    column = batch.column("spans").fill_null([])
-    lengths = np.diff(np.asarray(column.offsets))
-    values = column.flatten()
-    s, e = (values.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-    return np.repeat(np.arange(len(lengths)), lengths), s, e

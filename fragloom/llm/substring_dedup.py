@@ -1,10 +1,10 @@
 """Substring dedup over words: super-k-mer partitioning.
 
-A window is ``k`` consecutive words of one document.  Windows that share a minimiser travel
-as one packed string to the minimiser's bucket (``superkmer``); there all windows are sorted
-by hash with ties checked byte for byte, so each distinct window is counted exactly and its
-first occurrence (least doc_id, then start) is known.  Every later occurrence is a span to
-remove.
+A window is ``k`` consecutive words of one document.  Consecutive windows that share a minimiser
+travel as one packed string to the minimiser's bucket (``superkmer``, ``windows``); there all
+windows are sorted by hash with ties checked byte for byte, so each distinct window is counted
+exactly and its first occurrence (least doc_id, then start) is known.  Every later occurrence is
+a span to remove.  A census leaves out minimisers that occur only once.
 
 Edge cases: null and empty texts have no words and come back with zeros; a text shorter than
 ``k`` words has no window; repeated rows (same doc_id, same text) are one occurrence, so
@@ -20,34 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fragloom.llm import arrays as A
-from fragloom.llm import blobs as B
-from fragloom.llm import spans as S
 from fragloom.llm import superkmer as K
+from fragloom.llm import windows as W
 
 
-def _packer(k, m, n_buckets):
-    def pack(batches):
-        for rows, data, bounds in A.text_chunks(batches):
-            starts, ends, word_bounds = A.words(data, bounds)
-            if not len(starts):
-                continue
-            text, at = A.compact(data, starts, ends)
-            stop = at + (ends - starts)
-            hashes = A.span_hash(A.prefix(A.BYTE_VALUES[text]), at, stop)
-            grams = A.fixed_hash(A.prefix(hashes), m)
-            first, last, gram = K.cut(grams, word_bounds, k, m)
-            if not len(first):
-                continue
-            begin, end = at[first], stop[last + k - 1]
-            ids, tags = A.integers(rows.column("id")), A.integers(rows.column("tag"))
-            yield B.batch(list(K.pack(text, begin, end, first, last + k - first, at[gram] - begin, grams[gram], A.owners(word_bounds)[first], ids, tags, word_bounds, n_buckets, True)), "bucket")
-
-    return pack
-
-
-def _bucket(k):
-    def later(table: pa.Table) -> pa.Table:
-        data, f, settled = K.unpack(table.column("blob"))
+def _verdict(k):
+    """Spans of a bucket's windows that also start earlier."""
+
+    def later(data, f):
         order = np.lexsort((f["start"], f["id"]))
         data = data[A.spread(f["at"][order], f["length"][order])]
         f = {name: x[order] for name, x in f.items()}
@@ -80,40 +60,43 @@ def _bucket(k):
         flags[by] = same & ((ids[by] != ids[head]) | (place[by] != place[head]))
         first = np.concatenate([[0], np.cumsum(counts)])[:-1]
         string, s, e = K.runs(flags, first)
-        return K.found_table(settled, f["id"][string], f["tag"][string], f["start"][string] + s, f["start"][string] + e + k)
+        return f["id"][string], f["tag"][string], f["start"][string] + s, f["start"][string] + e + k
 
     return later
 
 
-def repeated_spans(docs: DataFrame, k: int = 20, m: int = 2, n_buckets: int | None = None) -> DataFrame:
-    """id, tag, s, e: word spans of windows that also start earlier.  docs: spans.keyed()."""
-    return K.in_buckets(docs, _packer(k, m, K.bucket_count(docs.sparkSession, n_buckets)), _bucket(k))
-
-
 def _remover(texts):
-    def remove(batches):
-        for rows, data, bounds in A.text_chunks(batches):
+    def remove(docs: pa.Table, spans: pa.Table) -> pa.Table:
+        out = []
+        for rows, data, bounds, owner, s, e in W.chunks_with_spans(docs, spans):
             starts, ends, word_bounds = A.words(data, bounds)
-            text, at = A.compact(data, starts, ends)
-            owner, s, e = S.flat_spans(rows)
+            text, _ = A.compact(data, starts, ends)
             gone = A.covered(len(starts), word_bounds[owner] + s, word_bounds[owner] + e)
             lengths = ends - starts + 1
             raw = text[np.repeat(~gone, lengths)].tobytes()
             edges = np.concatenate([[0], np.cumsum(np.where(gone, 0, lengths))])[word_bounds]
             kept = [raw[a : max(a, b - 1)] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            out = {"doc_id": rows.column("doc_id"), "n_words": pa.array(np.diff(word_bounds), pa.int64()), "n_removed": pa.array(A.per_document(gone, word_bounds), pa.int64())}
-            out |= {"kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())}
-            out |= {"kept_text": pa.array([x.decode() for x in kept], pa.string())} if texts else {}
-            yield pa.RecordBatch.from_pydict(out)
+            found = {"doc_id": rows.column("doc_id"), "n_words": pa.array(np.diff(word_bounds), pa.int64()), "n_removed": pa.array(A.per_document(gone, word_bounds), pa.int64())}
+            found |= {"kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())}
+            found |= {"kept_text": pa.array([x.decode() for x in kept], pa.string())} if texts else {}
+            out.append(pa.RecordBatch.from_pydict(found))
+        return pa.Table.from_batches(out, schema=pa.schema(FIELDS[: 4 + texts]))
 
     return remove
 
 
-def substring_dedup(docs: DataFrame, k: int = 20, m: int = 2, id_col: str = "doc_id", text_col: str = "text", n_buckets: int | None = None, texts: bool = True) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and, with ``texts``, kept_text: each document without the words of windows seen earlier."""
-    rows = S.keyed(docs, id_col, text_col)
-    found = repeated_spans(rows, k, m, n_buckets)
-    return S.with_spans(rows, found).mapInArrow(_remover(texts), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * texts)
+FIELDS = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())]
+
+
+def substring_dedup(docs: DataFrame, k: int = 20, m: int = 8, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, hot: int | None = None, texts: bool = True) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and, with ``texts``, kept_text: each document without the words of windows seen earlier.
+
+    Documents are dealt into ``parts`` by doc_id; windows of minimisers in more than ``hot`` places travel one by one (windows.HOT).
+    """
+    rows, parts = W.dealt(docs, id_col, text_col, parts)
+    found = W.repeated(rows, W.Words, k, m, parts, _verdict(k), inside=True, hot=hot)
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * texts
+    return rows.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_remover(texts), schema)
 
 
 def query(spark, sf_dir):

@@ -3,10 +3,9 @@
 Every ``k``-byte string that also starts in a document with a smaller doc_id is removed.
 
 How documents become bounded collections: windows of ``k`` bytes travel as super-k-mers to
-the bucket of their minimiser (``superkmer``), so a string has at most 2k - m bytes and the
-column-wise build needs at most that many rounds, however long a document is.  Before that, a
-census of minimiser hashes tells each document which of its minimisers another document has too;
-windows of other minimisers cannot repeat and stay at home.  A bucket's strings
+the bucket of their minimiser (``superkmer``, ``windows``), so a string has at most 2k - m bytes
+and the column-wise build needs at most that many rounds, however long a document is.  A
+census leaves out minimisers that only one document has.  A bucket's strings
 are built into Burrows-Wheeler transforms of about ``COLLECTION`` bytes by inserting one symbol
 of each string a round, last column first: a round sorts the transform by symbol (the LF
 mapping), which says where the suffixes grown by one symbol go; transform, suffix owners and
@@ -28,107 +27,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from fragloom.llm import arrays as A
-from fragloom.llm import blobs as B
-from fragloom.llm import spans as S
 from fragloom.llm import superkmer as K
+from fragloom.llm import windows as W
 
 #: Bytes of one collection; a minimiser's strings stay together even beyond it.
 COLLECTION = 1 << 18
 
 
-def _strings(data, bounds, k, m):
-    """(grams, first, last, gram, row): the super-k-mers of a chunk."""
-    grams = A.fixed_hash(A.prefix(A.BYTE_VALUES[data]), m)
-    first, last, gram = K.cut(grams, bounds, k, m)
-    return grams, first, last, gram, np.searchsorted(bounds, first, "right") - 1
-
-
-def _short(hashes):
-    """What of a minimiser's hash the census keeps within a bucket, which the other half names.  Chance agreement costs work, not results."""
-    return (hashes >> np.uint64(32)).astype(np.uint32)
-
-
-def _census(k, m, n_buckets):
-    """Each chunk's minimisers, by bucket: those that several of its documents have go once, flagged, and their other holders ride along."""
-
-    def count(batches):
-        for rows, data, bounds in A.text_chunks(batches):
-            grams, _, _, gram, row = _strings(data, bounds, k, m)
-            ids, tags = A.integers(rows.column("id")), A.integers(rows.column("tag")).astype(np.uint16)
-            order = np.lexsort((ids[row], grams[gram]))
-            hashes, row = grams[gram][order], row[order]
-            if not len(row):
-                continue
-            new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])])
-            hashes, row = hashes[new], row[new]
-            head = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-            edge = np.flatnonzero(head)
-            several = ids[row[np.append(edge[1:], len(row)) - 1]] > ids[row[edge]]
-            ride = np.flatnonzero(~head & np.repeat(several, np.diff(np.append(edge, len(row)))))
-            keys = np.concatenate([(hashes[edge] & np.uint64(0xFFFFFFFF)).astype(np.int64) % n_buckets, np.arange(len(ride)) % n_buckets])
-            place, flag = np.concatenate([edge, ride]), np.concatenate([several.astype(np.uint8), np.full(len(ride), 2, np.uint8)])
-
-            def make(part, place=place, flag=flag, hashes=hashes, row=row, ids=ids, tags=tags):
-                part = part[np.lexsort((_short(hashes[place[part]]), flag[part] == 2))]
-                table, at = np.unique(row[place[part]], return_inverse=True)
-                mine = _short(hashes[place[part]])
-                return ids[table], tags[table], at.astype(np.uint16 if len(table) < 65536 else np.uint32), mine, flag[part]
-
-            yield B.batch(B.by_key(keys, n_buckets, make), "bucket")
-
-    return count
-
-
-def _shared(n_parts):
-    """For each part of the documents, the minimisers that they share with others."""
-
-    def find(table: pa.Table) -> pa.Table:
-        ids, tags, hashes, flags = [], [], [], []
-        for blob in table.column("blob"):
-            own, tag, at, short, flag = B.load(blob.as_py())
-            ids.append(own[at])
-            tags.append(tag[at])
-            hashes.append(short)
-            flags.append(flag)
-        ids, tags, hashes, flags = (np.concatenate(x) for x in (ids, tags, hashes, flags))
-        rides, here = np.flatnonzero(flags == 2), np.flatnonzero(flags < 2)
-        here = here[np.lexsort((ids[here], hashes[here]))]
-        edge = np.flatnonzero(np.concatenate([[True], hashes[here][1:] != hashes[here][:-1]])) if len(here) else here
-        size = np.diff(np.append(edge, len(here)))
-        several = (ids[here[np.append(edge[1:], len(here)) - 1]] > ids[here[edge]]) | (np.add.reduceat(flags[here], edge) > 0) if len(here) else np.zeros(0, bool)
-        out = np.concatenate([here[np.repeat(several, size)], rides])
-        rows = B.by_key(A.part_of(ids[out], n_parts), n_parts, lambda part: (ids[out[part]], tags[out[part]], hashes[out[part]]))
-        return pa.Table.from_batches([B.batch(rows, "part")])
-
-    return find
-
-
-def _packer(k, m, n_buckets):
-    """Strings of shared minimisers, by bucket."""
-
-    def key(ids, tags, short):
-        return A.mix(ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tags.astype(np.uint64)) ^ short.astype(np.uint64)
-
-    def pack(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        rows_out = []
-        known = np.unique(key(*B.loaded(shared.column("blob"), 3))) if shared.num_rows else np.zeros(0, np.uint64)
-        for rows, data, bounds in A.text_chunks(docs.to_batches() if len(known) else []):
-            grams, first, last, gram, row = _strings(data, bounds, k, m)
-            ids, tags = A.integers(rows.column("id")), A.integers(rows.column("tag"))
-            mine = key(ids[row], tags[row], _short(grams[gram]))
-            live = known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
-            first, last, gram, row = first[live], last[live], gram[live], row[live]
-            units = last + k - first
-            if len(first):
-                rows_out += K.pack(data, first, first + units, first, units, gram - first, grams[gram], row, ids, tags, bounds, n_buckets, False)
-        return pa.Table.from_batches([B.batch(rows_out, "bucket")])
-
-    return pack
-
-
 def common_prefix(blocks, a, b, most):
     """Common prefix of the suffixes at a and at b, ``most`` at most; blocks: big_words()."""
     out = np.zeros(len(a), np.int64)
@@ -194,9 +102,10 @@ def _several(hashes, ids):
     return out
 
 
-def _bucket(k, m, n_parts):
-    def later(table: pa.Table) -> pa.Table:
-        data, f, settled = K.unpack(table.column("blob"))
+def _verdict(k, m):
+    """Spans of a bucket's windows that a smaller id holds too."""
+
+    def later(data, f):
         at, length, ids = f["at"], f["length"], f["id"]
         sums = A.prefix(A.BYTE_VALUES[data])
         whole = A.span_hash(sums, at, at + length)
@@ -245,11 +154,12 @@ def _bucket(k, m, n_parts):
         low, high = np.searchsorted(lead, owners), np.searchsorted(lead, owners, "right")
         who = own[A.spread(low, high - low)]
         s, e = np.repeat(s, high - low), np.repeat(e, high - low)
-        found = (np.concatenate([ids[copies], ids[who]]), np.concatenate([f["tag"][copies], f["tag"][who]]))
-        found += (np.concatenate([f["start"][copies], f["start"][who] + s]), np.concatenate([f["start"][copies] + length[copies], f["start"][who] + e]))
-        found = [np.concatenate([x, y]) for x, y in zip(settled, found, strict=True)]
-        rows = B.by_key(A.part_of(found[0], n_parts), n_parts, lambda part: (found[0][part], found[1][part].astype(np.uint16), found[2][part].astype(np.uint32), found[3][part].astype(np.uint32)))
-        return pa.Table.from_batches([B.batch(rows, "part")])
+        return (
+            np.concatenate([ids[copies], ids[who]]),
+            np.concatenate([f["tag"][copies], f["tag"][who]]),
+            np.concatenate([f["start"][copies], f["start"][who] + s]),
+            np.concatenate([f["start"][copies] + length[copies], f["start"][who] + e]),
+        )
 
     return later
 
@@ -270,27 +180,11 @@ def _repeats(data, at, length, ids, k):
     return string, flags
 
 
-def repeated_spans(rows: DataFrame, k: int, m: int, parts: int, n_buckets: int) -> DataFrame:
-    """part, blob: byte spans (id, tag, s, e) of k-byte strings that also start in a document with a smaller id.  rows: part and spans.keyed()."""
-    census = rows.select("id", "tag", "text").mapInArrow(_census(k, m, parts), "bucket int, blob binary")
-    shared = census.groupBy("bucket").applyInArrow(_shared(parts), "part int, blob binary")
-    packed = rows.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_packer(k, m, n_buckets), "bucket int, blob binary")
-    return packed.groupBy("bucket").applyInArrow(_bucket(k, m, parts), "part int, blob binary")
-
-
 def _remover(rest):
     def remove(docs: pa.Table, spans: pa.Table) -> pa.Table:
-        ids, tags, s, e = B.loaded(spans.column("blob"), 4)
-        order = np.lexsort((tags, ids))
-        ids, tags, s, e = ids[order], tags[order].astype(np.int64), s[order].astype(np.int64), e[order].astype(np.int64)
-        name, first = np.unique(np.stack([ids, tags], axis=1), axis=0, return_index=True)
-        of = {(i, t): (a, b) for (i, t), a, b in zip(name.tolist(), first.tolist(), [*first.tolist()[1:], len(ids)], strict=True)}
         out = []
-        for rows, data, bounds in A.text_chunks(docs.to_batches()):
-            spans_at = [of.get(x, (0, 0)) for x in zip(A.integers(rows.column("id")).tolist(), A.integers(rows.column("tag")).tolist(), strict=True)]
-            low, high = np.array(spans_at).T
-            owner, pick = np.repeat(np.arange(len(low)), high - low), A.spread(low, high - low)
-            gone = A.covered(len(data), bounds[owner] + s[pick], bounds[owner] + e[pick])
+        for rows, data, bounds, owner, s, e in W.chunks_with_spans(docs, spans):
+            gone = A.covered(len(data), bounds[owner] + s, bounds[owner] + e)
             raw = data[~gone].tobytes()
             edges = np.concatenate([[0], np.cumsum(~gone)])[bounds]
             kept = [raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -309,14 +203,13 @@ def _remover(rest):
 FIELDS = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept_bytes", pa.binary())]
 
 
-def suffix_dedup(docs: DataFrame, k: int = 50, m: int = 24, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, rest: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, k: int = 50, m: int = 24, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, hot: int | None = None, rest: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``rest``, kept_bytes: each document without the bytes of strings that an earlier one holds.
 
-    Documents are dealt into ``parts`` by doc_id once; that exchange serves both cutting the strings out and removing the spans.
+    Documents are dealt into ``parts`` by doc_id; windows of minimisers in more than ``hot`` places travel one by one (windows.HOT).
     """
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = S.keyed(docs, id_col, text_col).select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "doc_id", "id", "tag", "text")
-    found = repeated_spans(rows, k, m, parts, 4 * parts)
+    rows, parts = W.dealt(docs, id_col, text_col, parts)
+    found = W.repeated(rows, W.Bytes, k, m, parts, _verdict(k, m), inside=False, hot=hot)
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_bytes binary" * rest
     return rows.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_remover(rest), schema)
 

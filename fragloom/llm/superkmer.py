@@ -13,13 +13,12 @@ writes one compressed blob for each bucket; ``unpack`` reads a bucket's blobs ba
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 
 from fragloom.llm import arrays as A
 from fragloom.llm import blobs as B
 
-SPANS = pa.schema([("id", pa.int64()), ("tag", pa.int32()), ("s", pa.int64()), ("e", pa.int64())])
-PACKED, FOUND = "bucket int, blob binary", "id bigint, tag int, s bigint, e bigint"
+#: Larger chunks fold more copies and compress better.
+CHUNK_BYTES = 2 << 20
 
 
 def cut(grams, bounds, k, m):
@@ -46,7 +45,7 @@ def pack(data, byte_at, byte_end, first, units, gram_at, gram_hash, rows, ids, t
     """(bucket, blob) for each bucket that gets strings of this chunk.
 
     byte_at, byte_end: each string's bytes; first, units: its first unit in the chunk and how many; gram_at: the
-    minimiser's place in it, in bytes; rows: its document; ids, tags: of all documents; bounds: their units.
+    minimiser's place in it, in bytes; gram_hash: names its bucket; rows: its document; ids, tags: of all documents; bounds: their units.
     Of equal strings in the chunk the earliest travels.  The others are settled here, as spans that ride along:
     with earliest_only all at a later place, otherwise those in a document with a greater id.
     """
@@ -95,6 +94,7 @@ def unpack(column):
         data.append(body)
     fields = dict(zip(("id", "tag", "length", "start", "gram"), (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True)), strict=True))
     fields["at"] = np.cumsum(fields["length"]) - fields["length"]
+    A.give_back()
     return np.concatenate(data), fields, np.concatenate(spans, axis=1)
 
 
@@ -109,20 +109,3 @@ def runs(flags, first):
     begin, end = np.flatnonzero(begins), np.flatnonzero(ends)
     owner = np.searchsorted(first, begin, "right") - 1
     return owner, begin - first[owner], end - first[owner]
-
-
-def found_table(spans, ids, tags, s, e):
-    """A table of FOUND: settled spans and those found in a bucket."""
-    columns = [np.concatenate([spans[i], x]) for i, x in enumerate((ids, tags, s, e))]
-    return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(columns, SPANS, strict=True)], schema=SPANS)
-
-
-def in_buckets(docs, packer, bucket):
-    """Spans (FOUND) that ``bucket`` finds among what ``packer`` makes of docs."""
-    packed = docs.select("id", "tag", "text").mapInArrow(packer, PACKED)
-    return packed.groupBy("bucket").applyInArrow(bucket, FOUND)
-
-
-def bucket_count(spark, n_buckets=None):
-    """Buckets follow the number of shuffle partitions, which follows the input."""
-    return n_buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -20,15 +20,16 @@ def pairs(made):
     return [(row[0], row[1]) for row in made]
 
 
-def test_substring_dedup(documents, made):
-    out = words.substring_dedup(documents, n_buckets=5)
+@pytest.mark.parametrize("parts,hot", [(1, None), (6, None), (6, 3)])
+def test_substring_dedup(documents, made, parts, hot):
+    out = words.substring_dedup(documents, parts=parts, hot=hot)
     same(out, substring_dedup(pairs(made)), ["doc_id", "n_words", "n_removed", "kept_sha256"])
     assert {r.doc_id: r.kept_text for r in out.collect()}[63] == "A b c"
 
 
-@pytest.mark.parametrize("parts", [1, 6])
-def test_suffix_dedup(documents, made, parts):
-    out = suffixes.suffix_dedup(documents, parts=parts)
+@pytest.mark.parametrize("parts,hot", [(1, None), (6, None), (6, 3)])
+def test_suffix_dedup(documents, made, parts, hot):
+    out = suffixes.suffix_dedup(documents, parts=parts, hot=hot)
     same(out, suffix_dedup(pairs(made)), ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     assert {r.doc_id: bytes(r.kept_bytes) for r in out.collect()}[68] == b"x"
 
@@ -304,7 +305,7 @@ def test_hashes_and_blobs(spark):
     assert hashes[0] == hashes[3] == hashes[9] != hashes[6]
     assert A.same_bytes(A.big_words(text), np.array([0, 0, 9]), np.array([3, 6, 0]), np.array([3, 3, 3])).tolist() == [True, False, True]
     assert A.sliding_min(np.array([5, 3, 4, 1, 6]), 3).tolist() == [3, 1, 1]
-    assert spans.NULL_ID == (1 << 63) - 1 and superkmer.FOUND
+    assert spans.NULL_ID == (1 << 63) - 1 and superkmer.CHUNK_BYTES
 
 
 def test_super_kmers_cover_every_window_once():
