@@ -29,14 +29,15 @@ def _either(words: list[str], undotted: list[str] | None) -> str:
     return "(?:" + "|".join(escaped[w] + ("" if undotted is not None and w in undotted else r"\.?") for w in words) + ")"
 
 
-def trimmed(text: Column) -> Column:
-    """Without white space of any script at the ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+def collapsed(text: Column) -> Column:
+    """Runs of white space of any script as one space, none at the ends."""
+    return F.trim(F.regexp_replace(text, SPACES, " "))
 
 
 @F.pandas_udf(StringType())
 def _decomposed(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
+    plain = lambda x: x if x is None or x.isascii() else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+    return text.map(plain)
 
 
 # Marked so that the optimiser leaves it in the projection that calls it: copied into a pushed-down
@@ -51,34 +52,44 @@ def strip_accents(text: Column) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """Accents stripped, lower case, white space collapsed; '' for null."""
-    return F.regexp_replace(trimmed(F.lower(strip_accents(F.coalesce(text, F.lit(""))))), SPACES, " ")
+    return collapsed(F.lower(strip_accents(F.coalesce(text, F.lit("")))))
 
 
 def normalize_key(key: Column) -> Column:
     """A message key in its canonical spelling: lower case without white space, '_' and '-', misspellings mended."""
-    plain = F.regexp_replace(F.lower(trimmed(key)), r"(?U)[\s_\-]+", "")
+    plain = F.regexp_replace(F.lower(key), r"(?U)[\s_\-]+", "")
     for wrong, right in KEY_ALIASES.items():
         plain = F.when(plain == wrong, F.lit(right)).otherwise(plain)
     return plain
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with value worked out once, however often use names it: inside nested functions it would be worked out again for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def normalize_message(message: Column) -> Column:
-    """A map with canonical keys.  Where two keys become one, the last one's value stays."""
-    entries = F.map_entries(message)
-    renamed = F.transform(entries, lambda e: F.struct(normalize_key(e["key"]).alias("key"), e["value"].alias("value")))
-    last = F.filter(renamed, lambda e, i: ~F.exists(F.slice(renamed, i + 2, F.size(renamed)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(last)
+    """A map with canonical keys; null for null.  Where two keys become one, the last one's value stays."""
+    renamed = F.transform(F.map_entries(message), lambda e: F.struct(normalize_key(e["key"]).alias("key"), e["value"].alias("value")))
+
+    def last_of_each(entries: Column) -> Column:
+        names = F.transform(entries, lambda e: e["key"])
+        unique = F.size(F.array_distinct(names)) == F.size(names)
+        last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+        return F.map_from_entries(F.when(unique, entries).otherwise(last))
+
+    return bound(renamed, last_of_each)
 
 
 def strip_titles(name: Column) -> Column:
-    """One title off the front, one off the end."""
-    front = F.regexp_replace(name, rf"(?iU)^{_either(BUILT_PREFIXES, UNDOTTED_PREFIXES)}\s+", "")
-    return trimmed(F.regexp_replace(trimmed(front), rf"(?iU)\s+{_either(BUILT_SUFFIXES, UNDOTTED_SUFFIXES)}$", ""))
+    """One title off the front, one off the end of a normalised name."""
+    front = F.trim(F.regexp_replace(name, rf"(?i)^{_either(BUILT_PREFIXES, UNDOTTED_PREFIXES)}\s+", ""))
+    return F.trim(F.regexp_replace(front, rf"(?i)\s+{_either(BUILT_SUFFIXES, UNDOTTED_SUFFIXES)}$", ""))
 
 
 def norm_name(name: Column) -> Column:
     """The canonical name that persons are compared by; null if nothing is left."""
-    out = trimmed(F.regexp_replace(F.translate(F.lower(name), ACCENTED, PLAIN), SPACES, " "))
+    out = collapsed(F.translate(F.lower(name), ACCENTED, PLAIN))
     title = _either(NAME_TITLES, None)
     for pattern in (rf"(?i)^{title}\s+", rf"(?i)\s+{title}$") * 2:
         out = F.trim(F.regexp_replace(out, pattern, ""))

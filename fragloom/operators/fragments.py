@@ -56,8 +56,7 @@ def classify(raw: DataFrame) -> DataFrame:
     Undecodable values have a null message and type.  The five texts that keys are made of are normalised
     in a projection of their own, so the accent function gets them all in one batch and nothing else.
     """
-    decoded = raw.withColumn("_decoded", decode(F.col("value")))
-    decoded = decoded.withColumn("message", F.when(F.col("_decoded").isNotNull(), T.normalize_message(F.col("_decoded")))).drop("_decoded")
+    decoded = raw.withColumn("message", T.normalize_message(decode(F.col("value"))))
     parts = {f"_{key}": T.normalize_text(F.try_element_at("message", F.lit(key))) for key in ("fullname", "name", "lastname", "passport", "address")}
     there = F.col("message").isNotNull()
     typed = decoded.withColumns(parts | {"fragment_type": F.when(there, detect_type(F.col("message")))})
