@@ -20,6 +20,13 @@ ACCENTED, PLAIN = "áàäâãéèëêíìïîóòöôõúùüûñçý", "aaaaaee
 #: A misspelt key and the one that it stands for.
 KEY_ALIASES = {"companyadress": "companyaddress"}
 
+#: What is starred out, and what stands there instead ($1 is the first group).
+REDACTIONS = (
+    (r"(?i)(passport[=:\s]+)([A-Z0-9]{7,10})", "$1***masked***"),
+    (r"\b([A-Z]{2}\d{2})[A-Z0-9]{10,30}\b", "$1***masked***"),
+    (r"\b[\w.+-]+(@[\w.-]+\.\w+)\b", "***@masked***"),
+)
+
 SPACES = r"(?U)\s+"
 
 
@@ -116,7 +123,7 @@ def mask_secret(text: Column, visible: int = 4) -> Column:
 
 def redact(text: Column) -> Column:
     """Labelled passports, IBANs (but for country and check digits) and the local parts of e-mail addresses starred out."""
-    for pattern, instead in ((r"(?i)(passport[=:\s]+)([A-Z0-9]{7,10})", "$1***masked***"), (r"\b([A-Z]{2}\d{2})[A-Z0-9]{10,30}\b", "$1***masked***"), (r"\b[\w.+-]+(@[\w.-]+\.\w+)\b", "***@masked***")):
+    for pattern, instead in REDACTIONS:
         text = F.regexp_replace(text, pattern, instead)
     return text
 

@@ -9,6 +9,8 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from fragloom.functions.text import REDACTIONS
+
 #: Upper bounds of a histogram's buckets, in seconds.
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 60, 300)
 
@@ -67,11 +69,9 @@ def quantiles(df: DataFrame, value: str, shares: list[float], accuracy: int = 10
 class Redactor(logging.Filter):
     """Stars out labelled passports, IBANs and e-mail addresses in log messages."""
 
-    PATTERNS = ((r"(?i)(passport[=:\s]+)([A-Z0-9]{7,10})", r"\1***masked***"), (r"\b([A-Z]{2}\d{2})[A-Z0-9]{10,30}\b", r"\1***masked***"), (r"\b[\w.+-]+(@[\w.-]+\.\w+)\b", "***@masked***"))
-
     def filter(self, record: logging.LogRecord) -> bool:
         message = record.getMessage()
-        for pattern, instead in self.PATTERNS:
-            message = re.sub(pattern, instead, message)
+        for pattern, instead in REDACTIONS:
+            message = re.sub(pattern, instead.replace("$", "\\"), message)
         record.msg, record.args = message, None
         return True

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fragloom.operators.reconcile import unsettled
 from fragloom.operators.schema import COMPLETENESS_FIELDS, FIELDS, LEAST_FILLED, REQUIRED_FIELDS
 
+#: Fixed value: rows of a top list.
 TOP = 50
 
 

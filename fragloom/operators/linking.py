@@ -13,6 +13,7 @@ from fragloom.operators.fragments import person_fields
 from fragloom.operators.schema import FIELDS
 from fragloom.storage import materialise
 
+#: A buffer's life in seconds, the fragments that make a person, and how many lives an alias has.
 LIFETIME_S, LEAST_FRAGMENTS, ALIAS_LIVES = 300, 2, 3
 
 

@@ -9,8 +9,10 @@ from fragloom.functions.trigram import similarity, trigrams
 from fragloom.operators.components import components
 from fragloom.operators.schema import FIELDS
 
+#: How alike names under one passport must be, what a name needs to say enough, and a merge's note.
 MERGE_SIMILARITY = 0.85
 LEAST_LENGTH, LEAST_WORDS = 3, 2
+MANUAL_NOTE = "manual consolidation"
 
 
 def eligible_name(name: Column) -> Column:
@@ -83,7 +85,7 @@ def manual_merge(persons: DataFrame, reviews: DataFrame, ids: list[int]) -> tupl
         raise ValueError("a person to merge does not exist")
     low, high = sorted(ids)
     losers = persons.sparkSession.createDataFrame([(high, low)], "loser bigint, survivor bigint")
-    return survive(persons, losers), with_merge_decisions(persons, reviews, losers, "manual consolidation")
+    return survive(persons, losers), with_merge_decisions(persons, reviews, losers, MANUAL_NOTE)
 
 
 def with_merge_decisions(persons: DataFrame, reviews: DataFrame, losers: DataFrame, note: str) -> DataFrame:

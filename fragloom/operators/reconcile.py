@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from fragloom.functions.trigram import similarity, trigrams
 from fragloom.operators.merge import eligible_name
 
+#: How alike names must be, beyond how many persons a blocking key is a common name, and verdicts that settle a person.
 SIMILARITY, MOST_PERSONS = 0.85, 20
 SETTLED = ("approved", "merged")
 

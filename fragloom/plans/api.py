@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fragloom.operators import gold as G
 from fragloom.operators.schema import FIELDS
 
+#: Rows of a page at most and by default, columns that free text is looked for in, and what is said before the first refresh.
 MOST_ROWS, PAGE = 500, 50
 PERSON_COLUMNS = ["id", *FIELDS]
 SEARCHED = ["full_name", "name", "lastname", "company", "email"]
+NOT_REFRESHED = "gold layer not refreshed yet"
 
 
 class NotFound(LookupError):
@@ -116,7 +118,7 @@ def gold_stats(table: DataFrame | None) -> dict:
     """The one row of the curated statistics, or an error if there is none yet."""
     row = table.first() if table is not None else None
     if row is None:
-        return {"error": "gold layer not refreshed yet"}
+        return {"error": NOT_REFRESHED}
     return row.asDict() | {"avg_completeness": round(row["avg_completeness"], 2)}
 
 

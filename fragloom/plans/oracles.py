@@ -166,7 +166,10 @@ def _top(table: str, field: str, n: int) -> str:
 
 
 RAW_KEYS = "['E-Mail', 'Company Address', 'company_email', 'Company Adress', ' Full Name ', 'IPv4']"
-STARRED = "regexp_replace(regexp_replace(regexp_replace(line, '(passport[=:\\s]+)([A-Z0-9]{7,10})', '\\1***masked***', 'gi'), '\\b([A-Z]{2}\\d{2})[A-Z0-9]{10,30}\\b', '\\1***masked***', 'g'), '\\b[\\w.+-]+(@[\\w.-]+\\.\\w+)\\b', '***@masked***', 'g')"
+STARRED = "line"
+for _pattern, _instead in T.REDACTIONS:
+    _flags = "gi" if _pattern.startswith("(?i)") else "g"
+    STARRED = f"regexp_replace({STARRED}, '{_pattern.removeprefix('(?i)')}', '{_instead.replace('$', chr(92))}', '{_flags}')"
 
 ORACLES = {
     "norm_names": f"with {PERSONS} select id, norm_name from persons",

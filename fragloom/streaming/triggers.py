@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: New persons that call for a rebuild, seconds between looks, and seconds after which it is done anyway.
 NEW_PERSONS, POLL_S, TIMEOUT_S = 150, 30, 900
 
 
