@@ -113,6 +113,26 @@ class Matcher:
         return pattern[equal], place[equal]
 
 
+def _numbered(windows, length, hashes, text, at, stop):
+    """For each window (its first word) a number, the same for equal ones."""
+    whole = A.span_hash(A.prefix(hashes), windows, windows + length)
+    begin = at[windows]
+    size = stop[windows + length - 1] - begin
+    order = np.argsort(whole, kind="stable")
+    a, b = order[:-1], order[1:]
+    like = np.flatnonzero(whole[a] == whole[b])
+    equal = size[a[like]] == size[b[like]]
+    equal[equal] = A.same_bytes(A.big_words(text), begin[a[like[equal]]], begin[b[like[equal]]], size[a[like[equal]]])
+    if not equal.all():  # two windows with one hash
+        number: dict[bytes, int] = {}
+        return np.array([number.setdefault(text[x : x + n].tobytes(), len(number)) for x, n in zip(begin, size, strict=True)])
+    new = np.ones(len(order), bool)
+    new[like + 1] = False
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
+
+
 def build(items, k):
     """[(matcher, pattern, item)]: for each pattern length its matcher and which patterns belong to which item; items: (name, text) pairs."""
     names = [name for name, _ in items]
@@ -125,9 +145,7 @@ def build(items, k):
         mine = np.flatnonzero(counts >= k if length == k else counts == length)
         windows = A.spread(bounds[mine], counts[mine] - length + 1)
         owner = np.repeat(mine, counts[mine] - length + 1)
-        span = [text[at[w] : stop[w + length - 1]].tobytes() for w in windows]
-        number: dict[bytes, int] = {}
-        pattern = np.array([number.setdefault(x, len(number)) for x in span])
+        pattern = _numbered(windows, length, hashes, text, at, stop)
         first = windows[np.unique(pattern, return_index=True)[1]]
         pairs = np.unique(np.stack([pattern, owner]), axis=1)
         out.append((Matcher(length, first, hashes, text, at, stop), pairs[0], pairs[1]))
