@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fragloom.llm import decontamination, line_dedup, mixing, quality, simhash
-from fragloom.llm.spans import NULL_ID, keyed
+from fragloom.llm.spans import NULL_ID, keyed, tag_of
 from fragloom.storage import materialise
 
 
@@ -19,7 +19,7 @@ class _Rows:
     def __init__(self, docs: DataFrame):
         self.names = docs.columns
         plain = docs.toDF(*(f"c{i}" for i in range(len(self.names))))
-        tag = F.pmod(F.xxhash64(plain[self.place("text")].cast("string")), F.lit(65536)).cast("int")
+        tag = tag_of(plain[self.place("text")].cast("string"))
         self.frame = plain.withColumns({"_id": F.coalesce(plain[self.place("doc_id")].cast("bigint"), F.lit(NULL_ID)), "_tag": tag})
 
     def place(self, name: str) -> str:

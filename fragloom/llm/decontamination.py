@@ -181,7 +181,7 @@ def _search(model):
     return search
 
 
-FOUND = "doc_id bigint, id bigint, tag int, n_words bigint, spans array<struct<s:bigint,e:bigint>>, items array<string>"
+FOUND = "doc_id bigint, id bigint, tag binary, n_words bigint, spans array<struct<s:bigint,e:bigint>>, items array<string>"
 
 
 def _digest(batches):
@@ -219,7 +219,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 10, pass_bytes
         every = every.groupBy("doc_id", "id", "tag", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"), F.count("*").alias("n"))
         copies = F.expr(f"explode(sequence(1, cast(n div {passes} as int)))")
         found = [every.withColumn("copy", copies).select("doc_id", "id", "tag", "n_words", "spans", "items")]
-    schema = "doc_id bigint, id bigint, tag int, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, spans array<struct<s:bigint,e:bigint>>, items array<string>"
+    schema = "doc_id bigint, id bigint, tag binary, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, spans array<struct<s:bigint,e:bigint>>, items array<string>"
     return found[0].mapInArrow(_digest, schema)
 
 

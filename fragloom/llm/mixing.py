@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fragloom.llm.spans import picked
+from fragloom.llm.spans import picked, tag_of
 from fragloom.storage import materialise
 
 BLOCK_WORDS, SHARD_SLOTS, MOST, SEED = 128, 8192, 3, 17
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, most: int = MOST, seed:
     docs = picked(docs, doc_id=id_col, text=text_col, source=source_col)
     text = F.col("text").cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
-    tag = F.pmod(F.xxhash64(text), F.lit(65536)).cast("int")
+    tag = tag_of(text)
     sized = materialise(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), tag.alias("tag"), F.col("source").cast("string").alias("source"), size.alias("size")))
     goals = materialise(targets(sized, most))
     blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")

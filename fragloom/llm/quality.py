@@ -238,7 +238,7 @@ def _score(models):
     return score
 
 
-SCORED = "doc_id bigint, id bigint, tag int, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, pool string, log_ppl double"
+SCORED = "doc_id bigint, id bigint, tag binary, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, pool string, log_ppl double"
 
 
 def train(rows: DataFrame) -> dict[str | None, KneserNey]:
@@ -279,7 +279,7 @@ def _median(value, weight):
 
 def quality(docs: DataFrame, width: float = 8.0, least_width: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, id, tag, the base measures, base_failed, perplexity, its band (ppl_low, ppl_high) and kept, for each document."""
-    rows = S.picked(docs, doc_id=id_col, text=text_col, lang=lang_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(S.NULL_ID)).alias("id"), F.pmod(F.xxhash64("text"), F.lit(65536)).cast("int").alias("tag"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = S.picked(docs, doc_id=id_col, text=text_col, lang=lang_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(S.NULL_ID)).alias("id"), S.tag_of(F.col("text").cast("string")).alias("tag"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     models = S.sent(docs.sparkSession, train(rows))
     scored = materialise(rows.mapInArrow(_score(models), SCORED))
     band = bands(scored, width, least_width)

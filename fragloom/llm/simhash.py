@@ -154,7 +154,7 @@ def links(classes: DataFrame, far: int = FAR, tile: int = TILE) -> DataFrame:
 def near_duplicates(docs: DataFrame, far: int = FAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, tag, fingerprint (16 hex digits), component_id: the least doc_id that links reach."""
     rows = S.keyed(docs, id_col, text_col).select("doc_id", "tag", "text")
-    printed = materialise(rows.mapInArrow(_print, "doc_id bigint, tag int, print bigint"))
+    printed = materialise(rows.mapInArrow(_print, "doc_id bigint, tag binary, print bigint"))
     classes = materialise(printed.groupBy("print").agg(F.min(F.coalesce("doc_id", F.lit(S.NULL_ID))).alias("id")))
     roots = components(links(classes.select("print"), far)).withColumnRenamed("node", "print")
     rooted = classes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))

@@ -1,8 +1,8 @@
 """How operators name rows, pick columns and send models.
 
-Rows of a document table are named by (doc_id, tag): the tag is 16 bits of the text's hash,
+Rows of a document table are named by (doc_id, tag): the tag is the 128-bit MD5 of the text,
 so repeated rows get the same spans and rows that share a doc_id with different texts get
-their own.  A null doc_id counts as the greatest one.
+their own, however many there are.  A null doc_id counts as the greatest one.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import pickle
 
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The key that stands for a null doc_id: the greatest.
 NULL_ID = (1 << 63) - 1
@@ -42,12 +42,17 @@ def picked(docs: DataFrame, **names: str) -> DataFrame:
     return plain.select(*(F.col(f"c{docs.columns.index(old)}").alias(new) for new, old in names.items()))
 
 
+def tag_of(text: Column) -> Column:
+    """The tag of a text: 16 bytes, none for null, so that tags never are null."""
+    return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(b""))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, id, tag, text; nothing else of ``docs`` is read."""
     text = F.col("text").cast("string")
     return picked(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("id"),
-        F.pmod(F.xxhash64(text), F.lit(65536)).cast("int").alias("tag"),
+        tag_of(text).alias("tag"),
         text.alias("text"),
     )

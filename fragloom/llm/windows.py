@@ -59,7 +59,7 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, parts: int | None) -> tup
     """part and spans.keyed() of docs, and the number of parts: by default that of shuffle partitions."""
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = S.keyed(docs, id_col, text_col)
-    return rows.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "doc_id", "id", "tag", "text"), parts
+    return rows.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "doc_id", "id", F.pmod(F.xxhash64("text"), F.lit(65536)).cast("int").alias("tag"), "text"), parts
 
 
 #: A minimiser in at least so many places, and in this share of the places of a census bucket's minimisers, sends

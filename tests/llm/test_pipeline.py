@@ -1,11 +1,13 @@
 """The pipeline's stages against brute force, and its queries against their SQL."""
 
+import random
 import re
 from collections import Counter
 
 import corpus_pipeline as P
 import pytest
 from brute import decontaminate, line_dedup, simhash, targets
+from pyspark.sql import functions as F
 from support import SF, rows
 
 from fragloom.llm import quality
@@ -99,3 +101,13 @@ def test_queries_without_sql(spark):
     for name, expected in columns.items():
         out = QUERIES[name](spark, SF)
         assert expected <= set(out.columns) and out.count() == n
+
+
+def test_many_rows_without_id_stay_apart(spark, sf_dir):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(2500)]
+    docs = spark.createDataFrame([(None, t, "en", "web", len(t)) for t in texts], "doc_id bigint, text string, lang string, source string, n_chars bigint").cache()
+    stage = dict(P.STAGES)
+    assert {r.text for r in stage["SimHash near-dedup"](spark, docs, sf_dir).collect()} == set(texts)
+    half = docs.where(F.col("text").isin(texts[:1250]))
+    assert Counter(plain(P._only(docs, P.keyed(half)))) == Counter(plain(half))
