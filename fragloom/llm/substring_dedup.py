@@ -91,7 +91,7 @@ FIELDS = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int6
 def substring_dedup(docs: DataFrame, k: int = 20, m: int = 8, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, hot: int | None = None, texts: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, with ``texts``, kept_text: each document without the words of windows seen earlier.
 
-    Documents are dealt into ``parts`` by doc_id; windows of minimisers in more than ``hot`` places travel one by one (windows.HOT).
+    Documents are dealt into ``parts`` by doc_id and text; windows of minimisers in more than ``hot`` places travel one by one (windows.HOT).
     """
     rows, parts = W.dealt(docs, id_col, text_col, parts)
     found = W.repeated(rows, W.Words, k, m, parts, _verdict(k), inside=True, hot=hot)

@@ -206,7 +206,7 @@ FIELDS = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int6
 def suffix_dedup(docs: DataFrame, k: int = 50, m: int = 24, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, hot: int | None = None, rest: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``rest``, kept_bytes: each document without the bytes of strings that an earlier one holds.
 
-    Documents are dealt into ``parts`` by doc_id; windows of minimisers in more than ``hot`` places travel one by one (windows.HOT).
+    Documents are dealt into ``parts`` by doc_id and text; windows of minimisers in more than ``hot`` places travel one by one (windows.HOT).
     """
     rows, parts = W.dealt(docs, id_col, text_col, parts)
     found = W.repeated(rows, W.Bytes, k, m, parts, _verdict(k, m), inside=False, hot=hot)

@@ -77,8 +77,8 @@ def pack(data, byte_at, byte_end, first, units, gram_at, gram_hash, rows, ids, t
         yield (
             int(used[turn]),
             B.dump(
-                ids[owner[ride]], tags[owner[ride]].astype(np.uint16), s[ride].astype(np.uint32), (e[ride] + 1).astype(np.uint32),
-                ids[table], tags[table].astype(np.uint16), row.astype(np.uint32),
+                ids[owner[ride]], tags[owner[ride]], s[ride].astype(np.uint32), (e[ride] + 1).astype(np.uint32),
+                ids[table], tags[table], row.astype(np.uint32),
                 lengths[part].astype(np.uint32), start[part].astype(np.uint32), gram_at[part].astype(np.uint32), data[A.spread(byte_at[part], lengths[part])],
             ),
         )

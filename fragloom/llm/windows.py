@@ -1,6 +1,6 @@
 """Finding repeated windows of all documents: a census of minimisers, strings to buckets, spans to documents.
 
-Documents are dealt into parts by id once; that exchange serves all three readers of the texts.
+Documents are dealt into parts by id and tag once; that exchange serves all three readers of the texts.
 
 1. Census.  Each part sends every minimiser (``superkmer``) that it holds to a bucket by hash, once, with how
    often it stands there.  The buckets tell the parts which of their minimisers stand elsewhere too.
@@ -56,10 +56,14 @@ class Words:
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, parts: int | None) -> tuple[DataFrame, int]:
-    """part and spans.keyed() of docs, and the number of parts: by default that of shuffle partitions."""
+    """part and spans.keyed() of docs, with a tag of 64 bits, and the number of parts: by default that of shuffle partitions.
+
+    Rows are dealt by id and tag, so that rows without id do not gather in one part.
+    """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = S.keyed(docs, id_col, text_col)
-    return rows.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "doc_id", "id", F.pmod(F.xxhash64("text"), F.lit(65536)).cast("int").alias("tag"), "text"), parts
+    rows = S.keyed(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
+    part = F.pmod(F.xxhash64(F.col("id").bitwiseXOR(F.col("tag"))), F.lit(parts))
+    return rows.select(part.cast("int").alias("part"), "doc_id", "id", "tag", "text"), parts
 
 
 #: A minimiser in at least so many places, and in this share of the places of a census bucket's minimisers, sends
@@ -173,7 +177,7 @@ def _verdicts(verdict, n_parts):
     def judge(table: pa.Table) -> pa.Table:
         data, fields, settled = K.unpack(table.column("blob"))
         ids, tags, s, e = (np.concatenate([x, y]) for x, y in zip(settled, verdict(data, fields), strict=True))
-        rows = B.by_key(A.part_of(ids, n_parts), lambda part: (ids[part], tags[part].astype(np.uint16), s[part].astype(np.uint32), e[part].astype(np.uint32)))
+        rows = B.by_key(A.part_of(ids ^ tags, n_parts), lambda part: (ids[part], tags[part], s[part].astype(np.uint32), e[part].astype(np.uint32)))
         return pa.Table.from_batches([B.batch(rows, "part")])
 
     return judge
@@ -182,11 +186,11 @@ def _verdicts(verdict, n_parts):
 def chunks_with_spans(docs: pa.Table, spans: pa.Table) -> Iterator[tuple]:
     """A part's documents in chunks, as text_chunks has them, each with (row, s, e) of its spans."""
     ids, tags, s, e = B.loaded(spans.column("blob"), 4)
-    name = A.mix(ids.astype(np.int64).view(np.uint64)) + tags.astype(np.uint64)
+    name = A.mix(ids.astype(np.int64).view(np.uint64)) + tags.astype(np.int64).view(np.uint64)
     order = np.argsort(name, kind="stable")
     name, s, e = name[order], s[order].astype(np.int64), e[order].astype(np.int64)
     for rows, data, bounds in A.text_chunks(docs.to_batches()):
-        mine = A.mix(A.integers(rows.column("id")).view(np.uint64)) + A.integers(rows.column("tag")).astype(np.uint64)
+        mine = A.mix(A.integers(rows.column("id")).view(np.uint64)) + A.integers(rows.column("tag")).view(np.uint64)
         low, high = np.searchsorted(name, mine), np.searchsorted(name, mine, "right")
         pick = A.spread(low, high - low)
         yield rows, data, bounds, np.repeat(np.arange(len(mine)), high - low), s[pick], e[pick]

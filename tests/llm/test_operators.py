@@ -316,3 +316,21 @@ def test_super_kmers_cover_every_window_once():
     windows = [w for a, b in zip(first, last, strict=True) for w in range(a, b + 1)]
     assert windows == [*range(0, 81), *range(100, 111), *range(130, 481)]
     assert all(a + 20 >= g + 4 and g >= b for a, b, g in zip(first, last, at, strict=True))
+
+
+def test_spans_of_many_rows_without_id(spark):
+    rng = random.Random(6)
+    draw = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passage = draw(25)
+    held = [f"{draw(rng.randint(5, 60))} {passage}" for _ in range(1200)]
+    free = [draw(rng.randint(5, 60)) for _ in range(1200)]
+    docs = spark.createDataFrame([(1, passage), *((None, t) for t in held + free)], "doc_id bigint, text string").cache()
+    out = words.substring_dedup(docs).where("doc_id is null")
+    assert Counter(r.kept_text for r in out.collect()) == Counter([t[: -len(passage) - 1] for t in held] + free)
+    out = suffixes.suffix_dedup(docs).where("doc_id is null")
+    assert Counter(bytes(r.kept_bytes).decode().rstrip() for r in out.collect()) == Counter([t[: -len(passage) - 1] for t in held] + free)
+    same_lines = [f"{t}\n{passage}" for t in free]
+    batch = spark.createDataFrame([(i, passage) for i in range(6)] + [(None, t) for t in same_lines + held], "doc_id bigint, text string")
+    gone = lines.dropped_lines(spans.keyed(batch)).select("id").collect()
+    assert sorted(r.id for r in gone) == list(range(6))
+    assert spans.keyed(batch).where("doc_id is null").select("tag").distinct().count() == 2400
