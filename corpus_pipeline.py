@@ -29,15 +29,19 @@ class _Rows:
         return frame.select(*(f"c{i}" for i in range(len(self.names)))).toDF(*self.names)
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs that kept (id, tag) names."""
+def _only(docs: DataFrame, kept: DataFrame, *also: str) -> DataFrame:
+    """The rows of docs that kept (id, tag) names, with the same strings in the columns ``also`` of both."""
     rows = _Rows(docs)
-    return rows.restored(rows.frame.join(kept.select(F.col("id").alias("_id"), F.col("tag").alias("_tag")), ["_id", "_tag"], "left_semi"))
+    names = kept.select(F.col("id").alias("k_id"), F.col("tag").alias("k_tag"), *(F.col(x).alias(f"k_{x}") for x in also))
+    same = (F.col("_id") == F.col("k_id")) & (F.col("_tag") == F.col("k_tag"))
+    for x in also:
+        same &= F.col(rows.place(x)).cast("string").eqNullSafe(F.col(f"k_{x}"))
+    return rows.restored(rows.frame.join(names, same, "left_semi"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return _only(docs, quality.quality(docs).where("kept"))
+    """Documents that the quality rules keep; rows that differ in language alone are judged apart."""
+    return _only(docs, quality.quality(docs).where("kept"), "lang")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

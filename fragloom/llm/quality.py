@@ -1,11 +1,8 @@
 """Quality rules: base measures and an n-gram perplexity band for each language.
 
-The language model is a modified Kneser-Ney trigram model over 64 classes of lower-cased UTF-8
-bytes.  Spark counts the trigrams of every whole text, by language; from the counts, discounts,
-probabilities and back-off weights are worked out and stored in arrays sorted by n-gram hash.
-A language's model has at most 64**3 + 64**2 + 64 entries.  Languages with under ``POOL_SHARE``
-of all trigrams share one pooled model, so there are at most 1 / POOL_SHARE + 1 models: that
-bounds what is collected and broadcast, at any input size.
+The language model is a modified Kneser-Ney model of word trigrams (``wordmodel``): Spark counts them
+over every whole text into sorted arrays dealt by hash, and scores each distinct one there.  Every
+language, and null as one, has a model and a band of its own, whatever its share of the corpus.
 
 A document passes if its perplexity lies in its language's band: the median of the log
 perplexity over documents that the base rules keep, plus and minus ``width`` robust standard
@@ -13,22 +10,25 @@ deviations and at least ``least_width``.  Medians come from exact counts of the
 in steps of ``STEP``.
 
 Edge cases: null and empty texts have zero measures and fail the base rule; a text of under three
-bytes has no perplexity (null) and is judged by the base rule alone; a null language is pooled
-with the rare ones; repeated rows are judged alike and each comes back; other columns are not read.
+words has no perplexity (null) and is judged by the base rule alone; repeated rows are judged alike
+and each comes back; other columns are not read.
+
+``KneserNey`` is the same model over 64 classes of bytes, in one process; operators do not use it.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fragloom.llm import arrays as A
 from fragloom.llm import spans as S
+from fragloom.llm import wordmodel
 from fragloom.storage import materialise
 
 CLASSES, ORDER = 64, 3
-POOL_SHARE = 0.05
 STEP = 0.002
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
 
@@ -65,30 +65,6 @@ def trigrams(data, bounds):
     return codes[inside], np.concatenate([[0], np.cumsum(np.maximum(lengths - ORDER + 1, 0))])
 
 
-def _count(batches):
-    """Trigram counts by language, folded over the whole task."""
-    total: dict[str | None, np.ndarray] = {}
-    for rows, data, bounds in A.text_chunks(batches):
-        lang = rows.column("lang").to_pylist()
-        codes, at = trigrams(data, bounds)
-        names = {x: i for i, x in enumerate(dict.fromkeys(lang))}
-        owner = np.repeat([names[x] for x in lang], np.diff(at))
-        for name, i in names.items():
-            mine = codes[owner == i] if len(names) > 1 else codes
-            total.setdefault(name, np.zeros(CLASSES**ORDER, np.int64))
-            total[name] += np.bincount(mine, minlength=CLASSES**ORDER)
-        while len(total) > 64:  # a task with very many languages hands counts over early
-            name = next(iter(total))
-            yield _counted(name, total.pop(name))
-    for name, counts in total.items():
-        yield _counted(name, counts)
-
-
-def _counted(name, counts):
-    codes = np.flatnonzero(counts)
-    return pa.RecordBatch.from_arrays([pa.array([name] * len(codes), pa.string()), pa.array(codes, pa.int32()), pa.array(counts[codes], pa.int64())], names=["lang", "gram", "n"])
-
-
 class KneserNey:
     """An interpolated modified Kneser-Ney model, its n-grams in arrays sorted by hash."""
 
@@ -214,62 +190,32 @@ def measures(data, bounds):
     }
 
 
-def _score(models):
-    def score(batches):
-        of = S.received(models)
-        for rows, data, bounds in A.text_chunks(batches):
-            base = measures(data, bounds)
-            codes, at = trigrams(data, bounds)
-            lang = [x if x in of else None for x in rows.column("lang").to_pylist()]
-            logs = np.zeros(len(codes))
-            number = {x: i for i, x in enumerate(dict.fromkeys(lang))}
-            owner = np.repeat([number[x] for x in lang], np.diff(at))
-            for name, i in number.items():
-                mine = owner == i
-                logs[mine] = of[name].score(codes[mine])
-            sums = np.concatenate([[0.0], np.cumsum(logs)])
-            count = np.diff(at)
-            mean = -(sums[at[1:]] - sums[at[:-1]]) / np.maximum(count, 1)
-            failed = (base["n_words"] < LEAST_WORDS) | (100 * base["n_repeat_words"] > REPEAT_PERCENT * base["n_words"])
-            out = {x: rows.column(x) for x in ("doc_id", "id", "tag")} | {k: pa.array(v, pa.int64()) for k, v in base.items()}
-            out |= {"base_failed": pa.array(failed, pa.bool_()), "pool": pa.array(lang, pa.string()), "log_ppl": pa.array(mean, pa.float64(), mask=count == 0)}
-            yield pa.RecordBatch.from_pydict(out)
-
-    return score
-
-
-SCORED = "doc_id bigint, id bigint, tag binary, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, pool string, log_ppl double"
-
-
-def train(rows: DataFrame) -> dict[str | None, KneserNey]:
-    """A model for each language with at least POOL_SHARE of the trigrams, and a pooled one under None."""
-    counts = materialise(rows.select("lang", "text").mapInArrow(_count, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    whole = counts.agg(F.sum("n")).first()[0] or 0
-    large = [x[0] for x in counts.where("lang is not null").groupBy("lang").agg(F.sum("n").alias("n")).where(F.col("n") >= POOL_SHARE * whole).collect()]
-    pool = F.when(F.col("lang").isin(large), F.col("lang")) if large else F.lit(None).cast("string")
-    table = counts.groupBy(pool.alias("lang"), "gram").agg(F.sum("n").alias("n")).toPandas()
-    models = {}
-    for name in [*large, None]:
-        mine = table[table["lang"].isna()] if name is None else table[table["lang"] == name]
-        mine = mine.sort_values("gram")
-        models[name] = KneserNey(mine["gram"].to_numpy(np.int64), mine["n"].to_numpy(np.int64))
-    return models
+def _described(rows, data, bounds):
+    """The base measures of a chunk's documents, as Arrow columns."""
+    base = measures(data, bounds)
+    failed = (base["n_words"] < LEAST_WORDS) | (100 * base["n_repeat_words"] > REPEAT_PERCENT * base["n_words"])
+    out = {x: rows.column(x) for x in ("doc_id", "id", "tag", "lang")} | {k: pa.array(v, pa.int64()) for k, v in base.items()}
+    return out | {"base_failed": pa.array(failed, pa.bool_())}
+
+
+SCORED = "doc_id bigint, id bigint, tag binary, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, log_ppl double"
 
 
 def bands(scored: DataFrame, width: float, least_width: float) -> DataFrame:
-    """pool, low, high: at most 1 / POOL_SHARE + 1 rows."""
+    """lang, low, high of each language, null as one."""
     kept = scored.where("not base_failed and log_ppl is not null")
-    table = kept.groupBy("pool", F.floor(F.col("log_ppl") / STEP).alias("step")).count().toPandas()
-    rows = []
-    for name, part in table.groupby("pool", dropna=False):
+    counts = kept.groupBy("lang", F.floor(F.col("log_ppl") / STEP).alias("step")).count()
+
+    def band(part):
         part = part.sort_values("step")
         value, weight = (part["step"].to_numpy() + 0.5) * STEP, part["count"].to_numpy()
         centre = _median(value, weight)
         far = np.abs(value - centre)
         order = np.argsort(far)
         half = max(least_width, width * 1.4826 * _median(far[order], weight[order]))
-        rows.append((name if isinstance(name, str) else None, float(centre - half), float(centre + half)))
-    return scored.sparkSession.createDataFrame(rows, "pool string, low double, high double")
+        return pd.DataFrame({"lang": part["lang"].iloc[:1].to_numpy(), "low": [centre - half], "high": [centre + half]})
+
+    return counts.groupBy("lang").applyInPandas(band, "lang string, low double, high double")
 
 
 def _median(value, weight):
@@ -278,18 +224,17 @@ def _median(value, weight):
 
 
 def quality(docs: DataFrame, width: float = 8.0, least_width: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, id, tag, the base measures, base_failed, perplexity, its band (ppl_low, ppl_high) and kept, for each document."""
+    """doc_id, id, tag, lang, the base measures, base_failed, perplexity, its band (ppl_low, ppl_high) and kept, for each document."""
     rows = S.picked(docs, doc_id=id_col, text=text_col, lang=lang_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(S.NULL_ID)).alias("id"), S.tag_of(F.col("text").cast("string")).alias("tag"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    models = S.sent(docs.sparkSession, train(rows))
-    scored = materialise(rows.mapInArrow(_score(models), SCORED))
-    band = bands(scored, width, least_width)
-    judged = scored.join(F.broadcast(band), scored["pool"].eqNullSafe(band["pool"]), "left").drop(band["pool"])
+    scored = materialise(wordmodel.scored(rows, _described, SCORED))
+    band = bands(scored, width, least_width).withColumnRenamed("lang", "of")
+    judged = scored.join(band, scored["lang"].eqNullSafe(band["of"]), "left")
     inside = F.col("log_ppl").isNull() | F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(True))
     return judged.select(
-        "doc_id", "id", "tag", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "doc_id", "id", "tag", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.exp("log_ppl").alias("perplexity"), F.exp("low").alias("ppl_low"), F.exp("high").alias("ppl_high"), (~F.col("base_failed") & inside).alias("kept"),
     )
 
 
 def query(spark, sf_dir):
-    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("id", "tag")
+    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("id", "tag", "lang")

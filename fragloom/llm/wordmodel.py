@@ -1,0 +1,266 @@
+"""Word trigram perplexity: an interpolated modified Kneser-Ney model of each language, held in hash buckets.
+
+Words are lower-cased runs of bytes outside white space, known by 64-bit hashes seeded by language, so
+languages share nothing.  Texts fall into two folds by their hash: a text is counted in the model
+of its own fold and scored by that of the other, so no text, nor a copy of it, vouches for itself.
+
+1. ``_cut``: each chunk of documents sends its trigrams to the buckets of their middle words.
+2. ``_vocabulary``: a bucket holds all that trigrams, their contexts and the pairs after them need, but for how
+   many words come before the last one.  It sends what it knows of that to the last words' buckets, with its counts of counts.
+3. ``_known``: these add up and answer.  All counts of counts come along: discounts are those of whole languages.
+4. ``_scores``: each distinct trigram is scored once, and its sums by document go back to the chunks (``_joined``).
+
+What is gathered grows with the input and lies in sorted arrays dealt by hash; nothing is broadcast or collected.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+
+from fragloom.llm import arrays as A
+from fragloom.llm import blobs as B
+
+ORDER = 3
+CHUNK_BYTES = 2 << 20
+SENT = "bucket int, chunk bigint, kind int, blob binary"
+GRAMS, ROWS, SUMS = range(3)
+#: Counts of counts: how many n-grams of a language, fold and order occur once, twice, three and four times, at least three times, their sum, and the number of all in both folds.
+STATS = 7
+
+
+def _sent(rows):
+    """Rows (bucket, chunk, kind, blob) as an Arrow batch."""
+    types = (("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary()))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(types)], names=[n for n, _ in types])
+
+
+def _seed(lang):
+    return xxhash.xxh64_intdigest("null" if lang is None else f"={lang}")
+
+
+def _bucket(hashes, n):
+    return (A.mix(hashes) % np.uint64(n)).astype(np.int64)
+
+
+def _small(x):
+    return x.astype(np.uint16 if len(x) and int(x.max()) < 1 << 16 else np.uint32)
+
+
+def _ipc(batch):
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _cut(n, described):
+    def cut(batches):
+        for rows, data, bounds in A.text_chunks(batches, limit=CHUNK_BYTES):
+            low = A.LOWER[data]
+            starts, ends, at = A.words(low, bounds)
+            owner = A.owners(at)
+            langs = rows.column("lang").to_pylist()
+            number = {x: i for i, x in enumerate(dict.fromkeys(langs))}
+            of = np.array([number[x] for x in langs], np.int64)
+            seeds = np.array([_seed(x) for x in number], np.uint64)
+            words = A.mix(A.span_hash(A.prefix(A.BYTE_VALUES[low]), starts, ends) ^ seeds[of][owner])
+            tags = rows.column("tag").to_pylist()
+            fold = np.array([x[0] & 1 if x else 0 for x in tags], np.uint8)
+            digest = xxhash.xxh64(data.tobytes())
+            digest.update(repr((rows.column("id").to_pylist(), langs, tags)).encode())
+            chunk = digest.intdigest() - (1 << 63)
+            names, word = np.unique(words, return_inverse=True)
+            first = np.flatnonzero(np.arange(len(words)) + ORDER <= np.repeat(at[1:], np.diff(at)))
+            table = described(rows, data, bounds) | {"n_grams": pa.array(np.maximum(np.diff(at) - ORDER + 1, 0), pa.int64())}
+            out = [(chunk % n, chunk, ROWS, _ipc(pa.RecordBatch.from_pydict(table)))]
+            to = _bucket(names, n)[word[first + 1]]
+            order = np.argsort(to, kind="stable")
+            used, edge = np.unique(to[order], return_index=True)
+            for bucket, part in zip(used, np.split(first[order], edge[1:]) if len(used) else [], strict=True):
+                mine, place = np.unique(np.concatenate([word[part], word[part + 1], word[part + 2]]), return_inverse=True)
+                a, b, c = (_small(x) for x in np.split(place, 3))
+                out.append((int(bucket), chunk, GRAMS, B.dump(names[mine].view(np.int64), a, b, c, _small(owner[part]), seeds.view(np.int64), _small(of), fold)))
+            yield _sent(out)
+
+    return cut
+
+
+class _Bucket:
+    """A bucket's trigrams (t), pairs of middle and last word (p) and contexts, with counts in both folds."""
+
+    def __init__(self, table: pa.Table):
+        kinds = table.column("kind").to_pylist()
+        live = [i for i, kind in enumerate(kinds) if kind == GRAMS]
+        self.chunks = [table.column("chunk")[i].as_py() for i in live]
+        parts = [B.load(table.column("blob")[i].as_py()) for i in live]
+        self.sizes = np.array([len(x[7]) for x in parts], np.int64)
+        self.seeds = np.unique(np.concatenate([x[5] for x in parts]))
+        self.words = np.unique(np.concatenate([x[0].view(np.uint64) for x in parts]))
+        local = [np.searchsorted(self.words, x[0].view(np.uint64)) for x in parts]
+        a, b, c = (np.concatenate([w[x[i]] for w, x in zip(local, parts, strict=True)]) for i in (1, 2, 3))
+        base = np.cumsum(self.sizes) - self.sizes
+        self.doc = np.concatenate([x[4].astype(np.int64) + k for x, k in zip(parts, base, strict=True)])
+        self.fold = np.concatenate([x[7][x[4]] for x in parts]).astype(np.int64)
+        lang = np.concatenate([np.searchsorted(self.seeds, x[5])[x[6]][x[4]] for x in parts])
+        del parts
+        size = len(self.words)
+        pairs, pair = np.unique(b * size + c, return_inverse=True)
+        self.p_middle, self.p_last = pairs // size, pairs % size
+        grams, self.gram = np.unique(pair * size + a, return_inverse=True)
+        self.t_pair = grams // size
+        _, self.t_context = np.unique(self.p_middle[self.t_pair] * size + grams % size, return_inverse=True)
+        self.lang = np.zeros(size, np.int64)  # of a word
+        for x in (a, b, c):
+            self.lang[x] = lang
+        self.n3 = np.bincount(2 * self.gram + self.fold, minlength=2 * len(grams)).reshape(-1, 2)
+        self.n2 = np.stack([np.bincount(self.t_pair, self.n3[:, g] > 0, len(pairs)) for g in (0, 1)], 1).astype(np.int64)
+        self.asked = np.unique(self.p_last)
+        self.n1 = np.stack([np.bincount(self.p_last, self.n2[:, g] > 0, size) for g in (0, 1)], 1).astype(np.int64)
+
+
+def _stats(order, counts, lang, seeds):
+    """Rows (seed, order, fold, STATS numbers)."""
+    out = []
+    for i, seed in enumerate(seeds):
+        mine = counts[lang == i]
+        for g in (0, 1):
+            x = mine[:, g]
+            out.append([seed, order, g, *(np.count_nonzero(x == k) for k in (1, 2, 3, 4)), np.count_nonzero(x >= 3), x.sum(), len(x)])
+    return np.array(out, np.int64).reshape(-1, 3 + STATS)
+
+
+def _vocabulary(n):
+    def ask(table: pa.Table) -> pa.Table:
+        bucket, out = table.column("bucket")[0].as_py(), []
+        if GRAMS in table.column("kind").to_pylist():
+            x = _Bucket(table)
+            p_lang = x.lang[x.p_last]
+            stats = np.concatenate([_stats(3, x.n3, p_lang[x.t_pair], x.seeds), _stats(2, x.n2, p_lang, x.seeds)])
+            words, to = x.words[x.asked], _bucket(x.words[x.asked], n)
+            for target in np.union1d(to, [bucket]):
+                mine = to == target
+                n1 = x.n1[x.asked[mine]]
+                told = stats if target == bucket else stats[:0]
+                out.append((int(target), bucket, 0, B.dump(words[mine].view(np.int64), n1[:, 0].copy(), n1[:, 1].copy(), x.seeds, _small(x.lang[x.asked[mine]]), told.ravel())))
+        return pa.Table.from_batches([_sent(out)])
+
+    return ask
+
+
+def _known(n):
+    def answer(table: pa.Table) -> pa.Table:
+        me = table.column("bucket")[0].as_py()
+        askers = table.column("chunk").to_pylist()
+        parts = [B.load(x.as_py()) for x in table.column("blob")]
+        words, place = np.unique(np.concatenate([x[0].view(np.uint64) for x in parts]), return_inverse=True)
+        counts = np.stack([np.bincount(place, np.concatenate([x[i] for x in parts]), len(words)) for i in (1, 2)], 1).astype(np.int64)
+        seeds = np.unique(np.concatenate([x[3] for x in parts]))
+        lang = np.zeros(len(words), np.int64)
+        lang[place] = np.concatenate([np.searchsorted(seeds, x[3])[x[4]] for x in parts])
+        stats = [_stats(1, counts, lang, seeds), *(x[5].reshape(-1, 3 + STATS) for x in parts)]
+        stats = _summed(np.concatenate(stats)).ravel()
+        edge = np.cumsum([len(x[0]) for x in parts])[:-1]
+        mine = dict(zip(askers, np.split(place, edge), strict=True))
+        out = []
+        for target in range(n):
+            n1 = counts[mine.get(target, place[:0])]
+            out.append((target, me, 0, B.dump(n1[:, 0].copy(), n1[:, 1].copy(), stats)))
+        return pa.Table.from_batches([_sent(out)])
+
+    return answer
+
+
+def _summed(stats):
+    names, place = np.unique(stats[:, :3], axis=0, return_inverse=True)
+    out = np.zeros((len(names), STATS), np.int64)
+    np.add.at(out, place.ravel(), stats[:, 3:])
+    return np.concatenate([names, out], 1)
+
+
+def discounts(stats):
+    """D for counts of 0, 1, 2 and 3 or more, row by row, from STATS."""
+    n1, n2, n3, n4 = (stats[:, i].astype(float) for i in range(4))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        y = n1 / (n1 + 2 * n2)
+        d = np.stack([0 * y, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, np.where(n3 > 0, 3 - 4 * y * n4 / n3, 1.5)], 1)
+    d[(n1 == 0) | (n2 == 0)] = [0, 0.5, 0.75, 0.9]
+    return np.clip(d, [0, 0.1, 0.1, 0.1], [0, 0.95, 1.9, 2.9])
+
+
+def _level(counts, d, context, below):
+    """Discounted shares of counts in their contexts, and what is left of each context given to below.  d: by count."""
+    n = int(context.max(initial=-1)) + 1
+    cut = d[np.arange(len(counts)), np.minimum(counts, 3)]
+    total, mass = np.bincount(context, counts, n), np.bincount(context, cut, n)
+    seen = np.maximum(total, 1)[context]
+    return np.where(total[context] > 0, (counts - cut) / seen + mass[context] / seen * below, below)
+
+
+def _scores(n):
+    def score(table: pa.Table, known: pa.Table) -> pa.Table:
+        kinds = table.column("kind").to_pylist() if table.num_rows else []
+        out = [(0, table.column("chunk")[i].as_py(), ROWS, table.column("blob")[i].as_py()) for i, kind in enumerate(kinds) if kind == ROWS]
+        if GRAMS in kinds:
+            x = _Bucket(table)
+            n1 = np.zeros((len(x.words), 2), np.int64)
+            to, stats = _bucket(x.words[x.asked], n), []
+            for target, blob in zip(known.column("chunk").to_pylist(), known.column("blob"), strict=True):
+                zero, one, told = B.load(blob.as_py())
+                n1[x.asked[to == target]] = np.stack([zero, one], 1)
+                stats.append(told.reshape(-1, 3 + STATS))
+            stats = _summed(np.concatenate(stats))
+            lang = x.lang[x.p_last]
+            logs = np.zeros((len(x.t_pair), 2))
+            for g in (0, 1):
+                of = []
+                for order in (1, 2, 3):
+                    rows = stats[(stats[:, 1] == order) & (stats[:, 2] == g)]
+                    of.append(rows[np.searchsorted(rows[:, 0], x.seeds), 3:])
+                d1, d2, d3 = (discounts(s) for s in of)
+                one = of[0]
+                total = np.maximum(one[:, 5], 1)
+                left = np.where(one[:, 5] > 0, (d1[:, 1] * one[:, 0] + d1[:, 2] * one[:, 1] + d1[:, 3] * one[:, 4]) / total, 1)
+                last = n1[x.p_last, g]
+                p1 = (last - d1[lang, np.minimum(last, 3)]) / total[lang] + left[lang] / (one[lang, 6] + 1)
+                p2 = _level(x.n2[:, g], d2[lang], x.p_middle, p1)
+                p3 = _level(x.n3[:, g], d3[lang[x.t_pair]], x.t_context, p2[x.t_pair])
+                logs[:, g] = np.log(np.maximum(p3, 1e-300))
+            sums = np.bincount(x.doc, logs[x.gram, 1 - x.fold], int(x.sizes.sum())).astype(np.float32)
+            for chunk, part in zip(x.chunks, np.split(sums, np.cumsum(x.sizes)[:-1]), strict=True):
+                out.append((0, chunk, SUMS, B.dump(part.view(np.uint32))))
+        A.give_back()
+        return pa.Table.from_batches([_sent(out)])
+
+    return score
+
+
+def _joined(names):
+    def join(table: pa.Table) -> pa.Table:
+        kinds, blobs = table.column("kind").to_pylist(), table.column("blob").to_pylist()
+        rows = [pa.ipc.open_stream(b).read_all() for kind, b in zip(kinds, blobs, strict=True) if kind == ROWS]
+        sums = np.zeros(rows[0].num_rows)
+        for kind, blob in zip(kinds, blobs, strict=True):
+            if kind == SUMS:
+                sums += B.load(blob)[0].view(np.float32)
+        count = rows[0].column("n_grams").to_numpy()
+        # Chunks alike in every row share a name, and their sums.
+        mean = pa.array(-sums / np.maximum(count * len(rows), 1), pa.float64(), mask=count == 0)
+        return pa.concat_tables([x.append_column("log_ppl", mean).select(names) for x in rows])
+
+    return join
+
+
+def scored(rows: DataFrame, described, schema: str, buckets: int | None = None) -> DataFrame:
+    """The columns of schema for each row: what described(rows, bytes, bounds) says of a chunk, and log_ppl, null under three words.
+
+    rows: id, tag (spans.tag_of), lang, text and what described reads.
+    """
+    n = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.mapInArrow(_cut(n, described), SENT)
+    asked = cut.groupBy("bucket").applyInArrow(_vocabulary(n), SENT)
+    known = asked.groupBy("bucket").applyInArrow(_known(n), SENT)
+    found = cut.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_scores(n), SENT)
+    return found.groupBy("chunk").applyInArrow(_joined([x.split()[0] for x in schema.split(", ")]), schema)

@@ -8,7 +8,7 @@ import pytest
 from brute import base_measures, decontaminate, greedy_pieces, line_dedup, maximal_chats, simhash, substring_dedup, suffix_dedup, targets, with_clashes
 
 from fragloom.llm import arrays as A
-from fragloom.llm import blobs, chat, decontamination, langid, line_dedup as lines, mixing, quality, simhash as prints, spans, substring_dedup as words, suffix_dedup as suffixes, superkmer, token_counts
+from fragloom.llm import blobs, chat, decontamination, langid, line_dedup as lines, mixing, quality, simhash as prints, spans, substring_dedup as words, suffix_dedup as suffixes, superkmer, token_counts, wordmodel
 
 
 def same(frame, expected, columns):
@@ -176,6 +176,67 @@ def test_perplexity_rejects_another_language(spark):
     assert not out[200] and all(out[i] for i in [*range(60), *range(100, 140)])
 
 
+def slow_word_scores(docs):
+    """Mean -log p of each (lang, text) by the other fold's model, straight from the definition."""
+    import hashlib
+    import math
+
+    fold = lambda t: hashlib.md5(t.encode()).digest()[0] & 1
+    grams = lambda t: [tuple(w[i : i + 3]) for w in [t.lower().split()] for i in range(len(w) - 2)]
+    out = []
+    for lang, text in docs:
+        mine = [x for x in docs if x[0] == lang]
+        three = Counter(g for _, t in mine if fold(t) != fold(text) for g in grams(t))
+        two = Counter(g[1:] for g in three)
+        one = Counter(g[1] for g in two)
+        size = len({w for _, t in mine for g in grams(t) for w in g[2:]}) + 1
+
+        def level(c, gram, below, c_all=None):
+            s = np.array([[sum(v == i for v in c.values()) for i in (1, 2, 3, 4)]])
+            d = wordmodel.discounts(s)[0]
+            own = [v for g, v in c.items() if not isinstance(g, tuple) or g[:-1] == gram[:-1]]
+            if not own:
+                return below
+            return (c[gram] - d[min(c[gram], 3)] + sum(d[min(v, 3)] for v in own) * below) / sum(own)
+
+        logs = [math.log(level(three, g, level(two, g[1:], level(one, g[2], 1 / size)))) for g in grams(text)]
+        out.append(-sum(logs) / len(logs) if logs else None)
+    return out
+
+
+def test_word_model_is_the_definition(spark):
+    rng = random.Random(8)
+    docs = [(rng.choice(["en", "de", None]), " ".join(rng.choice(["a", "B", "c", "dd", "é", f"x{rng.randrange(9)}"]) for _ in range(rng.randint(1, 30)))) for _ in range(60)]
+    docs += docs[:5]
+    frame = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(docs)], "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r.perplexity for r in quality.quality(frame.repartition(3)).collect()}
+    for i, expected in enumerate(slow_word_scores(docs)):
+        assert (found[i] is None) == (expected is None) and (expected is None or np.log(found[i]) == pytest.approx(expected, rel=1e-5))
+
+
+def test_small_languages_have_bands_of_their_own(spark):
+    rng = random.Random(9)
+    make = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    words = {f"l{i}": [f"{c}{i}" for c in "abcdefgh"[: 6 + i % 3]] for i in range(24)}
+    rows = [(100 * i + j, make(words[x], 60), x) for i, x in enumerate(words) for j in range(20)]
+    rows += [(9000 + i, make(words[f"l{(i + 1) % 24}"], 60), x) for i, x in enumerate(words)]
+    out = quality.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert out.select("lang", "ppl_low", "ppl_high").distinct().count() == 24
+    assert {r.doc_id for r in out.where("not kept").collect()} == set(range(9000, 9024))
+
+
+def test_word_order_and_rare_words_raise_perplexity(spark):
+    rng = random.Random(10)
+    pick = lambda words: rng.choice(words.split())
+    sentence = lambda: f"the {pick('big old red odd wet')} {pick('cat dog man cow owl')} {pick('saw met bit fed hid')} a {pick('tin new hot raw shy')} {pick('hat box pan jug bag')}"
+    text = lambda: " ".join(sentence() for _ in range(12))
+    mixed = text().split()
+    rng.shuffle(mixed)
+    rows = [(i, text(), "en") for i in range(80)] + [(100, " ".join(mixed), "en"), (101, " ".join("".join(rng.sample(w, len(w))) for w in text().split()), "en")]
+    out = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not out[100].kept and not out[101].kept and all(out[i].kept for i in range(80))
+
+
 def test_token_counts(documents, made):
     vocabulary = {w.encode() for w in (" a", " ab", "abc", "bc", "c", " abcd", "cd", "na", " na", "é")} | {bytes([i]) for i in range(256)}
     import re
