@@ -24,7 +24,8 @@ from fragloom.llm import arrays as A
 from fragloom.llm import blobs as B
 
 ORDER = 3
-CHUNK_BYTES = 2 << 20
+#: Larger chunks name fewer words twice.
+CHUNK_BYTES = 4 << 20
 SENT = "bucket int, chunk bigint, kind int, blob binary"
 GRAMS, ROWS, SUMS = range(3)
 #: Counts of counts: how many n-grams of a language, fold and order occur once, twice, three and four times, at least three times, their sum, and the number of all in both folds.
@@ -77,12 +78,15 @@ def _cut(n, described):
             table = described(rows, data, bounds) | {"n_grams": pa.array(np.maximum(np.diff(at) - ORDER + 1, 0), pa.int64())}
             out = [(chunk % n, chunk, ROWS, _ipc(pa.RecordBatch.from_pydict(table)))]
             to = _bucket(names, n)[word[first + 1]]
-            order = np.argsort(to, kind="stable")
+            order = np.lexsort((word[first + 1], to))
             used, edge = np.unique(to[order], return_index=True)
             for bucket, part in zip(used, np.split(first[order], edge[1:]) if len(used) else [], strict=True):
-                mine, place = np.unique(np.concatenate([word[part], word[part + 1], word[part + 2]]), return_inverse=True)
-                a, b, c = (_small(x) for x in np.split(place, 3))
-                out.append((int(bucket), chunk, GRAMS, B.dump(names[mine].view(np.int64), a, b, c, _small(owner[part]), seeds.view(np.int64), _small(of), fold)))
+                mine, place, often = np.unique(np.concatenate([word[part], word[part + 1], word[part + 2]]), return_inverse=True, return_counts=True)
+                by = np.argsort(-often, kind="stable")  # small numbers for frequent words
+                rank = np.empty(len(by), np.int64)
+                rank[by] = np.arange(len(by))
+                a, b, c = (_small(x) for x in np.split(rank[place], 3))
+                out.append((int(bucket), chunk, GRAMS, B.dump(names[mine[by]].view(np.int64), a, b, c, _small(owner[part]), seeds.view(np.int64), _small(of), fold)))
             yield _sent(out)
 
     return cut
