@@ -1,6 +1,6 @@
 """Word trigram perplexity: an interpolated modified Kneser-Ney model of each language, held in hash buckets.
 
-Words are lower-cased runs of bytes outside white space, known by 64-bit hashes seeded by language, so
+Words are lower-cased runs of bytes outside white space, known by 48-bit hashes seeded by language, so
 languages share nothing.  Texts fall into two folds by their hash: a text is counted in the model
 of its own fold and scored by that of the other, so no text, nor a copy of it, vouches for itself.
 
@@ -24,6 +24,8 @@ from fragloom.llm import arrays as A
 from fragloom.llm import blobs as B
 
 ORDER = 3
+#: Of a word's 64 hash bits so many stay behind: 48 tell ten million words of a corpus apart, but for a pair in five such corpora.
+UNUSED = np.uint64(16)
 #: Larger chunks name fewer words twice.
 CHUNK_BYTES = 4 << 20
 SENT = "bucket int, chunk bigint, kind int, blob binary"
@@ -67,7 +69,7 @@ def _cut(n, described):
             number = {x: i for i, x in enumerate(dict.fromkeys(langs))}
             of = np.array([number[x] for x in langs], np.int64)
             seeds = np.array([_seed(x) for x in number], np.uint64)
-            words = A.mix(A.span_hash(A.prefix(A.BYTE_VALUES[low]), starts, ends) ^ seeds[of][owner])
+            words = A.mix(A.span_hash(A.prefix(A.BYTE_VALUES[low]), starts, ends) ^ seeds[of][owner]) >> UNUSED
             tags = rows.column("tag").to_pylist()
             fold = np.array([x[0] & 1 if x else 0 for x in tags], np.uint8)
             digest = xxhash.xxh64(data.tobytes())
@@ -86,7 +88,7 @@ def _cut(n, described):
                 rank = np.empty(len(by), np.int64)
                 rank[by] = np.arange(len(by))
                 a, b, c = (_small(x) for x in np.split(rank[place], 3))
-                out.append((int(bucket), chunk, GRAMS, B.dump(names[mine[by]].view(np.int64), a, b, c, _small(owner[part]), seeds.view(np.int64), _small(of), fold)))
+                out.append((int(bucket), chunk, GRAMS, B.dump(np.diff(names[mine[by]].view(np.int64), prepend=0), a, b, c, _small(owner[part]), seeds.view(np.int64), _small(of), fold)))
             yield _sent(out)
 
     return cut
@@ -100,25 +102,27 @@ class _Bucket:
         live = [i for i, kind in enumerate(kinds) if kind == GRAMS]
         self.chunks = [table.column("chunk")[i].as_py() for i in live]
         parts = [B.load(table.column("blob")[i].as_py()) for i in live]
+        named = [np.cumsum(x[0]).view(np.uint64) for x in parts]
         self.sizes = np.array([len(x[7]) for x in parts], np.int64)
         self.seeds = np.unique(np.concatenate([x[5] for x in parts]))
-        self.words = np.unique(np.concatenate([x[0].view(np.uint64) for x in parts]))
-        local = [np.searchsorted(self.words, x[0].view(np.uint64)) for x in parts]
+        self.words = np.unique(np.concatenate(named))
+        local = [np.searchsorted(self.words, x) for x in named]
         a, b, c = (np.concatenate([w[x[i]] for w, x in zip(local, parts, strict=True)]) for i in (1, 2, 3))
         base = np.cumsum(self.sizes) - self.sizes
         self.doc = np.concatenate([x[4].astype(np.int64) + k for x, k in zip(parts, base, strict=True)])
         self.fold = np.concatenate([x[7][x[4]] for x in parts]).astype(np.int64)
         lang = np.concatenate([np.searchsorted(self.seeds, x[5])[x[6]][x[4]] for x in parts])
-        del parts
+        del parts, named, local
         size = len(self.words)
         pairs, pair = np.unique(b * size + c, return_inverse=True)
         self.p_middle, self.p_last = pairs // size, pairs % size
         grams, self.gram = np.unique(pair * size + a, return_inverse=True)
         self.t_pair = grams // size
+        del a, c
         _, self.t_context = np.unique(self.p_middle[self.t_pair] * size + grams % size, return_inverse=True)
         self.lang = np.zeros(size, np.int64)  # of a word
-        for x in (a, b, c):
-            self.lang[x] = lang
+        self.lang[b] = lang
+        self.lang[self.p_last] = self.lang[self.p_middle]
         self.n3 = np.bincount(2 * self.gram + self.fold, minlength=2 * len(grams)).reshape(-1, 2)
         self.n2 = np.stack([np.bincount(self.t_pair, self.n3[:, g] > 0, len(pairs)) for g in (0, 1)], 1).astype(np.int64)
         self.asked = np.unique(self.p_last)
@@ -144,17 +148,17 @@ def _vocabulary(n):
             p_lang = x.lang[x.p_last]
             stats = np.concatenate([_stats(3, x.n3, p_lang[x.t_pair], x.seeds), _stats(2, x.n2, p_lang, x.seeds)])
             words, to = x.words[x.asked], _bucket(x.words[x.asked], n)
-            for target in np.union1d(to, [bucket]):
+            for target in np.union1d(to, [bucket % n]):
                 mine = to == target
                 n1 = x.n1[x.asked[mine]]
-                told = stats if target == bucket else stats[:0]
+                told = stats if target == bucket % n else stats[:0]
                 out.append((int(target), bucket, 0, B.dump(words[mine].view(np.int64), n1[:, 0].copy(), n1[:, 1].copy(), x.seeds, _small(x.lang[x.asked[mine]]), told.ravel())))
         return pa.Table.from_batches([_sent(out)])
 
     return ask
 
 
-def _known(n):
+def _known(n_buckets):
     def answer(table: pa.Table) -> pa.Table:
         me = table.column("bucket")[0].as_py()
         askers = table.column("chunk").to_pylist()
@@ -169,7 +173,7 @@ def _known(n):
         edge = np.cumsum([len(x[0]) for x in parts])[:-1]
         mine = dict(zip(askers, np.split(place, edge), strict=True))
         out = []
-        for target in range(n):
+        for target in range(n_buckets):
             n1 = counts[mine.get(target, place[:0])]
             out.append((target, me, 0, B.dump(n1[:, 0].copy(), n1[:, 1].copy(), stats)))
         return pa.Table.from_batches([_sent(out)])
@@ -260,11 +264,11 @@ def _joined(names):
 def scored(rows: DataFrame, described, schema: str, buckets: int | None = None) -> DataFrame:
     """The columns of schema for each row: what described(rows, bytes, bounds) says of a chunk, and log_ppl, null under three words.
 
-    rows: id, tag (spans.tag_of), lang, text and what described reads.
+    rows: id, tag (spans.tag_of), lang, text and what described reads.  Words are counted in ``buckets`` buckets, trigrams in four times as many.
     """
     n = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = rows.mapInArrow(_cut(n, described), SENT)
+    cut = rows.mapInArrow(_cut(4 * n, described), SENT)
     asked = cut.groupBy("bucket").applyInArrow(_vocabulary(n), SENT)
-    known = asked.groupBy("bucket").applyInArrow(_known(n), SENT)
+    known = asked.groupBy("bucket").applyInArrow(_known(4 * n), SENT)
     found = cut.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_scores(n), SENT)
     return found.groupBy("chunk").applyInArrow(_joined([x.split()[0] for x in schema.split(", ")]), schema)
