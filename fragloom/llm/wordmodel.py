@@ -1,8 +1,8 @@
 """Word trigram perplexity: an interpolated modified Kneser-Ney model of each language, held in hash buckets.
 
 Words are lower-cased runs of bytes outside white space, known by 48-bit hashes seeded by language, so
-languages share nothing.  Texts fall into two folds by their hash: a text is counted in the model
-of its own fold and scored by that of the other, so no text, nor a copy of it, vouches for itself.
+languages share nothing.  Texts fall into two folds by their least trigram hash: a text is counted in the
+model of its own fold and scored by that of the other, so no text, nor a copy or most near copies, vouches for itself.
 
 1. ``_cut``: each chunk of documents sends its trigrams to the buckets of their middle words.
 2. ``_vocabulary``: a bucket holds all that trigrams, their contexts and the pairs after them need, but for how
@@ -59,19 +59,35 @@ def _ipc(batch):
     return sink.getvalue().to_pybytes()
 
 
+def hashed(data, bounds, seeds):
+    """The words of documents, by hash and seed of each document, and their bounds."""
+    low = A.LOWER[data]
+    starts, ends, at = A.words(low, bounds)
+    return A.mix(A.span_hash(A.prefix(A.BYTE_VALUES[low]), starts, ends) ^ seeds[A.owners(at)]) >> UNUSED, at
+
+
+def folds(words, at):
+    """Each document's fold: a bit of the least hash of its trigrams, which near copies mostly share."""
+    out = np.zeros(len(at) - 1, np.uint8)
+    first = np.flatnonzero(np.arange(len(words)) + ORDER <= np.repeat(at[1:], np.diff(at)))
+    filled, edge = np.unique(A.owners(at)[first], return_index=True)
+    if len(filled):
+        least = np.minimum.reduceat(A.fixed_hash(A.prefix(words), ORDER - 1)[first] ^ A.mix(words[first + 2]), edge)
+        out[filled] = (A.mix(least) & np.uint64(1)).astype(np.uint8)
+    return out
+
+
 def _cut(n, described):
     def cut(batches):
         for rows, data, bounds in A.text_chunks(batches, limit=CHUNK_BYTES):
-            low = A.LOWER[data]
-            starts, ends, at = A.words(low, bounds)
-            owner = A.owners(at)
             langs = rows.column("lang").to_pylist()
             number = {x: i for i, x in enumerate(dict.fromkeys(langs))}
             of = np.array([number[x] for x in langs], np.int64)
             seeds = np.array([_seed(x) for x in number], np.uint64)
-            words = A.mix(A.span_hash(A.prefix(A.BYTE_VALUES[low]), starts, ends) ^ seeds[of][owner]) >> UNUSED
+            words, at = hashed(data, bounds, seeds[of])
+            owner = A.owners(at)
             tags = rows.column("tag").to_pylist()
-            fold = np.array([x[0] & 1 if x else 0 for x in tags], np.uint8)
+            fold = folds(words, at)
             digest = xxhash.xxh64(data.tobytes())
             digest.update(repr((rows.column("id").to_pylist(), langs, tags)).encode())
             chunk = digest.intdigest() - (1 << 63)

@@ -178,14 +178,14 @@ def test_perplexity_rejects_another_language(spark):
 
 def slow_word_scores(docs):
     """Mean -log p of each (lang, text) by the other fold's model, straight from the definition."""
-    import hashlib
     import math
 
-    fold = lambda t: hashlib.md5(t.encode()).digest()[0] & 1
     grams = lambda t: [tuple(w[i : i + 3]) for w in [t.lower().split()] for i in range(len(w) - 2)]
     out = []
     for lang, text in docs:
         mine = [x for x in docs if x[0] == lang]
+        seed = np.array([wordmodel._seed(lang)], np.uint64)
+        fold = lambda t: wordmodel.folds(*wordmodel.hashed(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), seed))[0]  # noqa: B023, E731
         three = Counter(g for _, t in mine if fold(t) != fold(text) for g in grams(t))
         two = Counter(g[1:] for g in three)
         one = Counter(g[1] for g in two)
