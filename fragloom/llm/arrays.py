@@ -37,13 +37,13 @@ class _Cache(dict):
 _powers: dict[str, np.ndarray] = _Cache()
 
 
-def text_chunks(batches, column="text", limit=CHUNK_BYTES):
+def text_chunks(batches, column="text", limit=CHUNK_BYTES, kind=pa.large_string()):
     """Yield (rows, bytes, bounds): a slice of the batch, its texts end to end, and where each begins and ends."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        texts = batch.column(column).cast(pa.large_string()).fill_null("")
+        texts = batch.column(column).cast(kind).fill_null(b"" if kind == pa.large_binary() else "")
         offsets = np.frombuffer(texts.buffers()[1], np.int64, n + 1, texts.offset * 8)
         buffer = texts.buffers()[2]
         data = np.frombuffer(buffer, np.uint8) if buffer is not None and buffer.size else np.zeros(0, np.uint8)

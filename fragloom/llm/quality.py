@@ -1,154 +1,61 @@
 """Quality rules: base measures and an n-gram perplexity band for each language.
 
-The language model is a modified Kneser-Ney model of word trigrams (``wordmodel``): Spark counts them
-over every whole text into sorted arrays dealt by hash, and scores each distinct one there.  Every
-language, and null as one, has a model and a band of its own, whatever its share of the corpus.
-
-A document passes if its perplexity lies in its language's band: the median of the log
-perplexity over documents that the base rules keep, plus and minus ``width`` robust standard
-deviations and at least ``least_width``.  Medians come from exact counts of the log perplexity
-in steps of ``STEP``.
-
-Edge cases: null and empty texts have zero measures and fail the base rule; a text of under three
-words has no perplexity (null) and is judged by the base rule alone; repeated rows are judged alike
+The language model is a modified Kneser-Ney model of byte n-grams (``bytemodel``): Spark counts them over
+every whole text that the base rules keep into sorted arrays dealt by hash, and scores all texts there.
+Every language, and null as one, has a model and a band of its own, whatever its share of the corpus.
+
+A text's perplexity is exp of the sum of -log p of its n-grams over its number of words.  The
+band is about the median of its log over a language's documents that the base rules keep.  A text of n
+words may lie ``width`` times spread / sqrt(n) from it, or ``least_width`` if that is more: the spread is that of one
+word, estimated from the upper quartile of |log perplexity - median| * sqrt(n), so short texts, whose perplexities vary more,
+have wider bands.  Quantiles come from exact counts in steps.
+
+Edge cases: null and empty texts have zero measures and fail the base rule; a text of under five
+bytes has no perplexity (null) and is judged by the base rule alone; one that a double cannot hold is infinite; repeated rows are judged alike
 and each comes back; other columns are not read.
-
-``KneserNey`` is the same model over 64 classes of bytes, in one process; operators do not use it.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fragloom.llm import arrays as A
+from fragloom.llm import bytemodel
 from fragloom.llm import spans as S
-from fragloom.llm import wordmodel
 from fragloom.storage import materialise
 
-CLASSES, ORDER = 64, 3
-STEP = 0.002
+WIDTH, LEAST_WIDTH = 4.0, 0.25
+#: Steps in which log perplexities and their distances from the median are counted.
+STEP, FAR_STEP = 0.002, 0.02
+#: The upper quartile of the distances of a normal variable, over its standard deviation.
+QUARTILE = 1.1503
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
 
+BLANKS = b" \t\n\x0b\x0c\r"
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
 
-def _classes():
-    """Byte to class: white space, line end, letters, digits, punctuation by kind, then bytes of longer characters."""
-    out = np.full(256, 40, np.uint8)
-    out[[9, 11, 12, 13, 32]], out[10] = 0, 1
-    for c in range(26):
-        out[[65 + c, 97 + c]] = 2 + c
-    out[48:58] = 28
-    for number, kind in enumerate((".", ",", "'\"", "-", "!?", ":;", "()[]{}<>", "/\\", "@", "#*$%&|", "=_+~^`"), 29):
-        out[[ord(c) for c in kind]] = number
-    out[0x80:0xC0] = 41 + np.arange(64) % 16
-    for number, (a, b) in enumerate(((0xC0, 0xC4), (0xC4, 0xD0), (0xD0, 0xE0), (0xE0, 0xE2), (0xE2, 0xE3), (0xE3, 0xF0), (0xF0, 0x100)), 57):
-        out[a:b] = number
-    return out
-
-
-CLASS_OF = _classes()
-
-
-def trigrams(data, bounds):
-    """(codes, bounds): class trigrams inside documents."""
-    c = CLASS_OF[data].astype(np.int32)
-    if len(c) < ORDER:
-        return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
-    codes = (c[:-2] << 12) | (c[1:-1] << 6) | c[2:]
-    lengths = np.diff(bounds)
-    inside = np.arange(len(codes)) + ORDER <= np.repeat(bounds[1:], lengths)[: len(codes)]
-    return codes[inside], np.concatenate([[0], np.cumsum(np.maximum(lengths - ORDER + 1, 0))])
-
-
-class KneserNey:
-    """An interpolated modified Kneser-Ney model, its n-grams in arrays sorted by hash."""
-
-    def __init__(self, codes, counts):
-        self.hashes, self.logp, self.backoff = (np.zeros(0, x) for x in (np.uint64, np.float32, np.float32))
-        # Lower orders count how many different symbols precede them.
-        pairs, pair_counts = np.unique(codes & 4095, return_counts=True)
-        singles, single_counts = np.unique(pairs & 63, return_counts=True)
-        d = self._discounts(single_counts)
-        total = max(1, single_counts.sum())
-        p1 = np.full(CLASSES, self._mass(d, single_counts, np.zeros(len(singles), int), 1)[0] / total / CLASSES if len(singles) else 1 / CLASSES)
-        p1[singles] += (single_counts - d[np.minimum(single_counts, 3)]) / total
-        p2, g2 = self._order(pairs, pair_counts, p1[pairs & 63])
-        lower = np.zeros(CLASSES**2)
-        lower[:] = (np.append(g2, 1.0)[np.full(CLASSES**2, len(g2))] * p1[np.arange(CLASSES**2) & 63])
-        contexts = np.unique(pairs >> 6)
-        weight = np.ones(CLASSES)
-        weight[contexts] = g2
-        lower = weight[np.arange(CLASSES**2) >> 6] * p1[np.arange(CLASSES**2) & 63]
-        lower[pairs] = p2
-        p3, g3 = self._order(codes, counts, lower[codes & 4095])
-        context3 = np.unique(codes >> 6)
-        # The entry of an n-gram holds its probability and, as a context, its back-off weight.
-        entries = {}
-        for order, grams, p in ((1, np.arange(CLASSES), p1), (2, np.arange(CLASSES**2), lower), (3, codes, p3)):
-            entries[order] = [grams, np.log(np.maximum(p, 1e-12)), np.zeros(len(grams))]
-        entries[2][2][context3] = np.log(np.maximum(g3, 1e-12))
-        seen = np.zeros(CLASSES**2, bool)
-        seen[pairs] = seen[context3] = True
-        entries[2] = [x[seen] for x in entries[2]]
-        entries[1][2] = np.log(np.maximum(weight, 1e-12))
-        hashes = np.concatenate([self._hash(order, x[0]) for order, x in entries.items()])
-        by = np.argsort(hashes)
-        self.hashes = hashes[by]
-        self.logp = np.concatenate([x[1] for x in entries.values()])[by].astype(np.float32)
-        self.backoff = np.concatenate([x[2] for x in entries.values()])[by].astype(np.float32)
-
-    @staticmethod
-    def _hash(order, grams):
-        return A.mix((np.uint64(order) << np.uint64(32)) | np.asarray(grams).astype(np.uint64))
-
-    @staticmethod
-    def _discounts(counts):
-        """D for counts of 0, 1, 2 and 3 or more, from the counts of counts."""
-        n = [np.count_nonzero(counts == i) for i in range(5)]
-        if not (n[1] and n[2]):
-            return np.array([0, 0.5, 0.75, 0.9])
-        y = n[1] / (n[1] + 2 * n[2])
-        d = [0, 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
-        return np.clip(d, [0, 0.1, 0.1, 0.1], [0, 0.95, 1.9, 2.9])
-
-    @staticmethod
-    def _mass(d, counts, context, n):
-        return np.bincount(context, d[np.minimum(counts, 3)], n)
-
-    def _order(self, codes, counts, below):
-        """Probabilities of the n-grams, and the back-off weight of each of their contexts in order."""
-        if not len(codes):
-            return np.zeros(0), np.zeros(0)
-        names, context = np.unique(codes >> 6, return_inverse=True)
-        d = self._discounts(counts)
-        total = np.bincount(context, counts, len(names))
-        weight = self._mass(d, counts, context, len(names)) / total
-        return (counts - d[np.minimum(counts, 3)]) / total[context] + weight[context] * below, weight
-
-    def _look(self, order, grams):
-        at = np.minimum(np.searchsorted(self.hashes, self._hash(order, grams)), len(self.hashes) - 1)
-        return at, self.hashes[at] == self._hash(order, grams)
-
-    def score(self, codes):
-        """Log probability of each trigram's last class after the two before it."""
-        grams = np.flatnonzero(np.bincount(codes, minlength=1)) if len(codes) else codes
-        at, known = self._look(3, grams)
-        out = self.logp[at].astype(np.float64)
-        rest = grams[~known]
-        pair, has = self._look(2, rest & 4095)
-        single, _ = self._look(1, rest & 63)
-        middle, _ = self._look(1, (rest >> 6) & 63)
-        low = np.where(has, self.logp[pair], self.backoff[middle] + self.logp[single])
-        context, seen = self._look(2, rest >> 6)
-        out[~known] = np.where(seen, self.backoff[context], 0) + low
-        table = np.zeros(int(grams[-1]) + 1 if len(grams) else 1)
-        table[grams] = out
-        return table[codes]
+def _alike(data, a, b, c, d):
+    """Whether the spans a to b and c to d hold the same bytes."""
+    same = b - a == d - c
+    same[same] = A.same_bytes(A.big_words(data), a[same], c[same], (b - a)[same])
+    return same
+
+
+def _exact(text: bytes) -> tuple[int, int]:
+    """n_dup_lines and n_repeat_words of one text, by the strings themselves."""
+    lines = [x for x in text.split(b"\n") if x.strip(BLANKS)]
+    words = text.translate(bytes(32 if c in BLANKS else c for c in range(256))).split(b" ")
+    words = [x for x in words if x]
+    windows = [tuple(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
+    often = Counter(windows)
+    return len(lines) - len(set(lines)), len({i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(WINDOW)})
 
 
 def measures(data, bounds):
@@ -167,8 +74,11 @@ def measures(data, bounds):
     owner = np.searchsorted(bounds, a, "right") - 1
     key = A.mix(A.span_hash(sums, a, b) + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     order = np.argsort(key, kind="stable")
-    again = order[1:][key[order][1:] == key[order][:-1]]
-    n_dup_lines = np.bincount(owner[again], minlength=n)
+    like = np.flatnonzero(key[order][1:] == key[order][:-1])
+    x, y = order[like], order[like + 1]
+    alike = _alike(data, a[x], b[x], a[y], b[y])
+    unsure = owner[x[~alike]]
+    n_dup_lines = np.bincount(owner[y], minlength=n)
     # Windows found twice or more in one document.
     hashes = A.span_hash(sums, starts, ends)
     windows = A.fixed_hash(A.prefix(hashes), WINDOW)
@@ -176,17 +86,24 @@ def measures(data, bounds):
     holder = A.owners(word_bounds)[place]
     key = A.mix(windows[place] + holder.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     order = np.argsort(key)
-    equal = key[order][1:] == key[order][:-1]
+    like = np.flatnonzero(key[order][1:] == key[order][:-1])
     twice = np.zeros(len(place), bool)
-    twice[order[1:][equal]] = True
-    twice[order[:-1][equal]] = True
-    repeat = A.covered(len(starts), place[twice], place[twice] + WINDOW)
+    twice[order[like]] = twice[order[like + 1]] = True
+    if len(like):
+        text, at = A.compact(data, starts, ends)
+        stop = at + (ends - starts)
+        x, y = place[order[like]], place[order[like + 1]]
+        alike = _alike(text, at[x], stop[x + WINDOW - 1], at[y], stop[y + WINDOW - 1])
+        unsure = np.append(unsure, holder[order[like[~alike]]])
+    repeat = A.per_document(A.covered(len(starts), place[twice], place[twice] + WINDOW), word_bounds)
+    for i in np.unique(unsure):  # different lines or windows with one hash
+        n_dup_lines[i], repeat[i] = _exact(data[bounds[i] : bounds[i + 1]].tobytes())
     return {
         "n_words": n_words,
         "word_chars": points[bounds[1:]] - points[bounds[:-1]],
         "n_symbols": symbols[bounds[1:]] - symbols[bounds[:-1]],
         "n_dup_lines": n_dup_lines,
-        "n_repeat_words": A.per_document(repeat, word_bounds),
+        "n_repeat_words": repeat,
     }
 
 
@@ -195,40 +112,44 @@ def _described(rows, data, bounds):
     base = measures(data, bounds)
     failed = (base["n_words"] < LEAST_WORDS) | (100 * base["n_repeat_words"] > REPEAT_PERCENT * base["n_words"])
     out = {x: rows.column(x) for x in ("doc_id", "id", "tag", "lang")} | {k: pa.array(v, pa.int64()) for k, v in base.items()}
-    return out | {"base_failed": pa.array(failed, pa.bool_())}
+    return out | {"base_failed": pa.array(failed, pa.bool_()), "counted": pa.array(~failed, pa.bool_())}
 
 
-SCORED = "doc_id bigint, id bigint, tag binary, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, log_ppl double"
+SCORED = "doc_id bigint, id bigint, tag binary, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, surprise double"
 
 
-def bands(scored: DataFrame, width: float, least_width: float) -> DataFrame:
-    """lang, low, high of each language, null as one."""
-    kept = scored.where("not base_failed and log_ppl is not null")
-    counts = kept.groupBy("lang", F.floor(F.col("log_ppl") / STEP).alias("step")).count()
+def _quantile(name: str, share: float, step: float):
+    """(lang, the value below which ``share`` of a language's counts lie) from rows lang, step, count."""
 
-    def band(part):
+    def value(part):
         part = part.sort_values("step")
-        value, weight = (part["step"].to_numpy() + 0.5) * STEP, part["count"].to_numpy()
-        centre = _median(value, weight)
-        far = np.abs(value - centre)
-        order = np.argsort(far)
-        half = max(least_width, width * 1.4826 * _median(far[order], weight[order]))
-        return pd.DataFrame({"lang": part["lang"].iloc[:1].to_numpy(), "low": [centre - half], "high": [centre + half]})
+        sums = np.cumsum(part["count"].to_numpy())
+        at = np.searchsorted(sums, sums[-1] * share)
+        return pd.DataFrame({"lang": part["lang"].iloc[:1].to_numpy(), name: [(part["step"].to_numpy()[at] + 0.5) * step]})
 
-    return counts.groupBy("lang").applyInPandas(band, "lang string, low double, high double")
+    return value
 
 
-def _median(value, weight):
-    sums = np.cumsum(weight)
-    return value[np.searchsorted(sums, sums[-1] / 2)]
+def bands(scored: DataFrame) -> DataFrame:
+    """of, centre, spread of each language, null as one."""
+    kept = scored.where("not base_failed and log_ppl is not null")
+    counts = kept.groupBy("lang", F.floor(F.col("log_ppl") / STEP).alias("step")).count()
+    centre = counts.groupBy("lang").applyInPandas(_quantile("centre", 0.5, STEP), "lang string, centre double").withColumnRenamed("lang", "of")
+    far = kept.join(centre, kept["lang"].eqNullSafe(centre["of"]))
+    step = F.floor(F.abs(F.col("log_ppl") - F.col("centre")) * F.sqrt("n_words") / FAR_STEP)
+    far = far.groupBy("lang", step.alias("step")).count()
+    spread = far.groupBy("lang").applyInPandas(_quantile("spread", 0.75, FAR_STEP / QUARTILE), "lang string, spread double")
+    return centre.join(spread, centre["of"].eqNullSafe(spread["lang"])).select("of", "centre", "spread")
 
 
-def quality(docs: DataFrame, width: float = 8.0, least_width: float = 0.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def quality(docs: DataFrame, width: float = WIDTH, least_width: float = LEAST_WIDTH, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, id, tag, lang, the base measures, base_failed, perplexity, its band (ppl_low, ppl_high) and kept, for each document."""
     rows = S.picked(docs, doc_id=id_col, text=text_col, lang=lang_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(S.NULL_ID)).alias("id"), S.tag_of(F.col("text").cast("string")).alias("tag"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    scored = materialise(wordmodel.scored(rows, _described, SCORED))
-    band = bands(scored, width, least_width).withColumnRenamed("lang", "of")
+    scored = materialise(bytemodel.scored(rows, _described, SCORED)).withColumn("log_ppl", F.col("surprise") / F.greatest("n_words", F.lit(1)))
+    band = materialise(bands(scored))  # written, so that its size is known when it is joined
     judged = scored.join(band, scored["lang"].eqNullSafe(band["of"]), "left")
+    half = F.greatest(width * F.col("spread") / F.sqrt(F.greatest("n_words", F.lit(1))), F.lit(least_width))
+    judged = judged.withColumns({"low": F.col("centre") - half, "high": F.col("centre") + half})
     inside = F.col("log_ppl").isNull() | F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(True))
     return judged.select(
         "doc_id", "id", "tag", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -8,7 +8,7 @@ import pytest
 from brute import base_measures, decontaminate, greedy_pieces, line_dedup, maximal_chats, simhash, substring_dedup, suffix_dedup, targets, with_clashes
 
 from fragloom.llm import arrays as A
-from fragloom.llm import blobs, chat, decontamination, langid, line_dedup as lines, mixing, quality, simhash as prints, spans, substring_dedup as words, suffix_dedup as suffixes, superkmer, token_counts, wordmodel
+from fragloom.llm import blobs, bytemodel, chat, decontamination, langid, line_dedup as lines, mixing, quality, simhash as prints, spans, substring_dedup as words, suffix_dedup as suffixes, superkmer, token_counts
 
 
 def same(frame, expected, columns):
@@ -112,59 +112,95 @@ def test_line_runs_tell_fresh_lines(spark):
     assert {bytes(r.hash).decode(): r.n_docs for r in runs.totals().collect()} == {"a": 2, "b": 2, "c": 1, "d": 2, "e": 1, "f": 1}
 
 
-def test_quality_base(documents, made):
+def test_quality(documents, made):
+    """Base measures, perplexities, bands and verdicts from their definitions."""
     out = quality.quality(documents)
     expected = [(i, *base_measures(t)) for i, t in pairs(made)]
     same(out, expected, ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"])
-    for row in out.collect():
-        inside = row.perplexity is None or row.ppl_low is None or row.ppl_low <= row.perplexity <= row.ppl_high
-        assert row.kept == (not row.base_failed and inside)
-
-
-def slow_kneser_ney(counts):
-    """p(w | u v) of an interpolated modified Kneser-Ney model, straight from its definition."""
-    pair = Counter(g & 4095 for g in counts)
-    single = Counter(p & 63 for p in pair)
-
-    def discounts(c):
-        n = [sum(x == i for x in c.values()) for i in range(5)]
-        if not n[1] or not n[2]:
-            return [0, 0.5, 0.75, 0.9]
-        y = n[1] / (n[1] + 2 * n[2])
-        d = [0, 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3] if n[3] else 1.5]
-        return [min(max(v, lo), hi) for v, lo, hi in zip(d, (0, 0.1, 0.1, 0.1), (0, 0.95, 1.9, 2.9), strict=True)]
-
-    def level(c, d, gram, below, own):
-        total = sum(own.values())
-        if not total:
+    docs = [(r[2], r[1] or "", base_measures(r[1])) for r in made]
+    logs = [s and s / max(1, base[0]) for s, (_, _, base) in zip(slow_surprises([(x, t, not base[5]) for x, t, base in docs]), docs, strict=True)]
+    kept = Counter((i, base[0], verdict) for (i, *_), (_, _, base), verdict in zip(made, docs, slow_verdicts(docs, logs), strict=True))
+    assert Counter((r.doc_id, r.n_words, r.kept) for r in out.collect()) == kept
+    found = sorted((r.n_words, np.log(r.perplexity)) for r in out.collect() if r.perplexity and r.perplexity < np.inf)
+    assert np.allclose(found, sorted((base[0], v) for v, (_, _, base) in zip(logs, docs, strict=True) if v is not None and v < 700), rtol=2e-3)
+
+
+def slow_surprises(docs, order=5):
+    """Sum of -log p over each text's grams, by its language's model of the other fold, straight from the definition.  docs: lang, text, whether it is counted."""
+    import math
+
+    def grams(text):
+        data = bytes(32 if c in b" \t\n\x0b\x0c\r" else c + 32 if 65 <= c < 91 else c for c in text.encode())
+        return [data[i : i + order] for i in range(len(data) - order + 1)]
+
+    def fold(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return int(bytemodel.folds(bytemodel.PLAIN[data], np.array([0, len(data)]))[0])
+
+    out = []
+    models = {}
+    for lang, f in {(x, f) for x, _, _ in docs for f in (0, 1)}:
+        counts = [Counter(g for x, t, counted in docs if x == lang and counted and fold(t) == f for g in grams(t))]
+        for _ in range(order - 1):
+            counts.append(Counter(g[1:] for g in counts[-1]))
+        contexts = [{} for _ in counts]
+        for c, by in zip(counts, contexts, strict=True):
+            for g, n in c.items():
+                by.setdefault(g[:-1], []).append(n)
+        models[lang, f] = counts, contexts, [bytemodel.discounts([sum(n == k for n in c.values()) for k in (1, 2, 3, 4)]) for c in counts]
+
+    def p(model, level, gram):
+        if level == order:
+            return 1 / 256
+        below, (counts, contexts, d) = p(model, level + 1, gram[1:]), model
+        own = contexts[level].get(gram[:-1])
+        if not own:
             return below
-        mass = sum(d[min(n, 3)] for n in own.values()) / total
-        n = c.get(gram, 0)
-        return (n - d[min(n, 3)] if n else 0) / total + mass * below
+        n = counts[level][gram]
+        return (n - d[level][min(n, 3)] + sum(d[level][min(v, 3)] for v in own) * below) / sum(own)
 
-    d1, d2, d3 = discounts(single), discounts(pair), discounts(counts)
+    for lang, text, _ in docs:
+        g = grams(text)
+        out.append(-sum(math.log(p(models[lang, 1 - fold(text)], 0, x)) for x in g) if g else None)
+    return out
+
+
+def slow_verdicts(docs, logs):
+    """docs: lang, text, base measures."""
+    kept = []
+    for (lang, _, base), log in zip(docs, logs, strict=True):
+        own = [(v, b[0]) for (x, _, b), v in zip(docs, logs, strict=True) if x == lang and v is not None and not b[5]]
+        if base[5] or log is None or not own:
+            kept.append(not base[5])
+            continue
+        rank = lambda values, share: sorted(values)[max(0, int(np.ceil(share * len(values))) - 1)]
+        centre = rank([v for v, _ in own], 0.5)
+        spread = rank([abs(v - centre) * n**0.5 for v, n in own], 0.75) / quality.QUARTILE
+        kept.append(abs(log - centre) <= max(quality.WIDTH * spread / base[0] ** 0.5, quality.LEAST_WIDTH))
+    return kept
 
-    def p(gram):
-        one = level(single, d1, gram & 63, 1 / 64, single)
-        two = level(pair, d2, gram & 4095, one, {g: n for g, n in pair.items() if g >> 6 == gram >> 6 & 63})
-        return level(counts, d3, gram, two, {g: n for g, n in counts.items() if g >> 6 == gram >> 6})
 
-    return p
+def test_byte_model_is_the_definition(spark):
+    rng = random.Random(8)
+    docs = [(rng.choice(["en", "de", None]), " ".join(rng.choice(["a", "B", "c", "dd", "é", f"x{rng.randrange(9)}"]) for _ in range(rng.randint(1, 40)))) for _ in range(60)]
+    docs += docs[:5]
+    frame = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(docs)], "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r.perplexity for r in quality.quality(frame.repartition(3)).collect()}
+    expected = slow_surprises([(x, t, not base_measures(t)[5]) for x, t in docs])
+    for i, value in enumerate(expected):
+        n = len(docs[i][1].split())
+        assert (found[i] is None) == (value is None) and (value is None or np.log(found[i]) == pytest.approx(value / n, rel=2e-3, abs=2e-3))
 
 
-def test_kneser_ney():
-    rng = random.Random(2)
-    text = bytes(rng.choice(b"abcd e\nf") for _ in range(3000))
-    codes, _ = quality.trigrams(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    counts = Counter(codes.tolist())
-    grams = np.array(sorted(counts))
-    model = quality.KneserNey(grams, np.array([counts[g] for g in grams]))
-    p = slow_kneser_ney(counts)
-    tried = np.array([*grams[:50], *(rng.randrange(1 << 18) for _ in range(300)), *((g & ~63) | 9 for g in grams[:50])])
-    assert np.allclose(np.exp(model.score(tried)), [p(g) for g in tried.tolist()], rtol=1e-4)
-    context = int(grams[0]) >> 6
-    assert sum(np.exp(model.score(np.arange(context << 6, (context << 6) + 64)))) == pytest.approx(1, abs=1e-4)
-    assert (np.diff(model.hashes.astype(object)) > 0).all()
+def test_lines_and_windows_of_one_hash():
+    """Thue-Morse strings share a polynomial hash modulo 2**64, but are different."""
+    word = lambda flip: "".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(2048))
+    texts = [f"{word(0)}\n{word(1)}", " ".join([word(0), *"abcdefgh", word(1), *"bcdefgh", *["x"] * 9]), "one two\none two\n \n"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    found = quality.measures(data, np.cumsum([0, *map(len, texts)]))
+    for i, t in enumerate(texts):
+        expected = base_measures(t)
+        assert (found["n_words"][i], found["n_dup_lines"][i], found["n_repeat_words"][i]) == (expected[0], expected[3], expected[4])
 
 
 def test_perplexity_rejects_another_language(spark):
@@ -176,44 +212,6 @@ def test_perplexity_rejects_another_language(spark):
     assert not out[200] and all(out[i] for i in [*range(60), *range(100, 140)])
 
 
-def slow_word_scores(docs):
-    """Mean -log p of each (lang, text) by the other fold's model, straight from the definition."""
-    import math
-
-    grams = lambda t: [tuple(w[i : i + 3]) for w in [t.lower().split()] for i in range(len(w) - 2)]
-    out = []
-    for lang, text in docs:
-        mine = [x for x in docs if x[0] == lang]
-        seed = np.array([wordmodel._seed(lang)], np.uint64)
-        fold = lambda t: wordmodel.folds(*wordmodel.hashed(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), seed))[0]  # noqa: B023, E731
-        three = Counter(g for _, t in mine if fold(t) != fold(text) for g in grams(t))
-        two = Counter(g[1:] for g in three)
-        one = Counter(g[1] for g in two)
-        size = len({w for _, t in mine for g in grams(t) for w in g[2:]}) + 1
-
-        def level(c, gram, below, c_all=None):
-            s = np.array([[sum(v == i for v in c.values()) for i in (1, 2, 3, 4)]])
-            d = wordmodel.discounts(s)[0]
-            own = [v for g, v in c.items() if not isinstance(g, tuple) or g[:-1] == gram[:-1]]
-            if not own:
-                return below
-            return (c[gram] - d[min(c[gram], 3)] + sum(d[min(v, 3)] for v in own) * below) / sum(own)
-
-        logs = [math.log(level(three, g, level(two, g[1:], level(one, g[2], 1 / size)))) for g in grams(text)]
-        out.append(-sum(logs) / len(logs) if logs else None)
-    return out
-
-
-def test_word_model_is_the_definition(spark):
-    rng = random.Random(8)
-    docs = [(rng.choice(["en", "de", None]), " ".join(rng.choice(["a", "B", "c", "dd", "é", f"x{rng.randrange(9)}"]) for _ in range(rng.randint(1, 30)))) for _ in range(60)]
-    docs += docs[:5]
-    frame = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(docs)], "doc_id bigint, text string, lang string")
-    found = {r.doc_id: r.perplexity for r in quality.quality(frame.repartition(3)).collect()}
-    for i, expected in enumerate(slow_word_scores(docs)):
-        assert (found[i] is None) == (expected is None) and (expected is None or np.log(found[i]) == pytest.approx(expected, rel=1e-5))
-
-
 def test_small_languages_have_bands_of_their_own(spark):
     rng = random.Random(9)
     make = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
