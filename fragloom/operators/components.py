@@ -17,16 +17,16 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: every node hands its greater neighbours to its
     least one, then its smaller neighbours.  What is left are stars around the least nodes.
     Groups are only ever reduced to their minimum, so a node with very many links is no burden
-    beyond its rows.  Loops and repeated links do no harm; no links give no rows.
+    beyond its rows.  Nodes may be of any type that has an order.  Loops and repeated links do no harm; no links give no rows.
     """
     edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Joined on ~u, which makes the join shuffle for itself: those shuffles AQE may split where a node
+        # Joined on u in a struct, which makes the join shuffle for itself: those shuffles AQE may split where a node
         # has very many links, which it may not do to one that an aggregate below relies on.
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.bitwise_not("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").withColumn("k", F.bitwise_not("u")).join(least, "k").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.struct("u").alias("k"), F.least("u", "m").alias("m"))
+        large = both.where("v > u").withColumn("k", F.struct("u")).join(least, "k").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(below, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
         edges = materialise(small.where("u <> v").distinct())
