@@ -31,7 +31,7 @@ from fragloom.operators.components import components
 from fragloom.storage import materialise
 
 SHINGLE, SEED, FAR = 4, 42, 4
-PIVOTS, TILE = 16, 2048
+PIVOTS, TILE, BUCKET_ROWS = 64, 2048, 1 << 18
 
 
 def fingerprints(data, bounds):
@@ -122,47 +122,57 @@ def least_members(n, a, b):
 
 def _block(far):
     def stars(table: pa.Table) -> pa.Table:
-        names, prints = (A.integers(table.column(x).combine_chunks()) for x in ("block", "print"))
+        names, prints, ids = (A.integers(table.column(x).combine_chunks()) for x in ("block", "print", "id"))
         order = np.lexsort((prints, names))
-        names, prints = names[order], prints[order]
+        names, prints, ids = names[order], prints[order], ids[order]
         a, b = linked(prints.view(np.uint64), names, far)
-        # The same class may stand in several of the bucket's blocks: join them up.
-        classes, place = np.unique(prints, return_inverse=True)
-        root = least_members(len(classes), place[a], place[b])
-        moved = np.flatnonzero(root != np.arange(len(classes)))
-        return pa.table({"u": pa.array(classes[moved], pa.int64()), "v": pa.array(classes[root[moved]], pa.int64())})
+        # The same class may stand in several of the bucket's blocks: join them up.  Classes are numbered by (id, print).
+        by = np.lexsort((prints, ids))
+        new = np.ones(len(by), bool)
+        new[1:] = prints[by][1:] != prints[by][:-1]
+        place = np.empty(len(by), np.int64)
+        place[by] = np.cumsum(new) - 1
+        first = by[new]
+        root = least_members(len(first), place[a], place[b])
+        moved = np.flatnonzero(root != np.arange(len(first)))
+        u, v = first[moved], first[root[moved]]
+        return pa.table({"u_id": ids[u], "u_print": prints[u], "v_id": ids[v], "v_print": prints[v]})
 
     return stars
 
 
 def links(classes: DataFrame, far: int = FAR, tile: int = TILE) -> DataFrame:
-    """u, v: links between prints that connect just what all links within reach connect.  classes: print, each once."""
+    """u, v: links between classes, structs of (id, print), that connect just what all links within reach connect.  classes: print, each once, and id."""
     spark = classes.sparkSession
     masks = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(x).cast("bigint").alias("mask")) for i, x in enumerate(block_masks(far))))
-    blocks = classes.select("print", F.explode(masks).alias("m")).select("print", F.xxhash64("m.i", F.col("print").bitwiseAND(F.col("m.mask"))).alias("block"))
+    blocks = classes.select("print", "id", F.explode(masks).alias("m")).select("print", "id", F.xxhash64("m.i", F.col("print").bitwiseAND(F.col("m.mask"))).alias("block"))
     large = blocks.groupBy("block").count().where(F.col("count") > tile).select("block", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
     dealt = blocks.join(large, "block", "left")
-    whole = dealt.where("tiles is null").select("block", "print")
+    whole = dealt.where("tiles is null").select("block", "print", "id")
     mine = F.pmod(F.xxhash64("print"), F.col("tiles")).cast("int")
-    parts = dealt.where("tiles is not null").select("block", "print", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    parts = parts.select(F.xxhash64("block", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"), "print")
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    every = whole.unionByName(parts).select("block", "print", F.pmod(F.xxhash64("block"), F.lit(buckets)).alias("bucket"))
-    return every.groupBy("bucket").applyInArrow(_block(far), "u bigint, v bigint")
+    parts = dealt.where("tiles is not null").select("block", "print", "id", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    parts = parts.select(F.xxhash64("block", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"), "print", "id")
+    # Buckets by the number of classes, so that one holds about as many whatever the corpus.
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), classes.count() * len(block_masks(far)) // BUCKET_ROWS)
+    every = whole.unionByName(parts).select("block", "print", "id", F.pmod(F.xxhash64("block"), F.lit(buckets)).alias("bucket"))
+    found = every.groupBy("bucket").applyInArrow(_block(far), "u_id bigint, u_print bigint, v_id bigint, v_print bigint")
+    return found.select(*(F.struct(F.col(f"{x}_id").alias("id"), F.col(f"{x}_print").alias("print")).alias(x) for x in "uv"))
 
 
 def near_duplicates(docs: DataFrame, far: int = FAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, tag, fingerprint (16 hex digits), component_id: the least doc_id that links reach."""
+    """doc_id, tag, fingerprint (16 hex digits), component_id (the least doc_id that links reach) and group (the fingerprint of a class with that id, which names the component)."""
     rows = S.keyed(docs, id_col, text_col).select("doc_id", "tag", "text")
     printed = materialise(rows.mapInArrow(_print, "doc_id bigint, tag binary, print bigint"))
     classes = materialise(printed.groupBy("print").agg(F.min(F.coalesce("doc_id", F.lit(S.NULL_ID))).alias("id")))
-    roots = components(links(classes.select("print"), far)).withColumnRenamed("node", "print")
-    rooted = classes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    of = rooted.join(least, "root").select("print", "component")
+    # A class is named by its least id and its print, so the least class of a component, its root, tells its least id:
+    # nothing has to meet by root, which a great many classes may share.
+    roots = components(links(classes, far)).select(F.col("node.print").alias("print"), "root")
+    of = classes.join(roots, "print", "left").select("print", F.coalesce("root", F.struct("id", "print")).alias("root"))
     joined = printed.join(of, "print", "left")
-    return joined.select("doc_id", "tag", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.when(F.col("component") != S.NULL_ID, F.col("component")).alias("component_id"))
+    hexed = lambda column: F.lower(F.lpad(F.hex(column), 16, "0"))
+    component = F.when(F.col("root.id") != S.NULL_ID, F.col("root.id"))
+    return joined.select("doc_id", "tag", hexed("print").alias("fingerprint"), component.alias("component_id"), hexed("root.print").alias("group"))
 
 
 def query(spark, sf_dir):
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("tag")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("tag", "group")

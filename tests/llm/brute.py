@@ -64,7 +64,8 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def simhash(docs, far=4):
+def simhash_roots(docs, far=4):
+    """Each document's fingerprint and the least one that links reach from it."""
     prints = [fingerprint(text) for _, text in docs]
     root = {p: p for p in prints}
 
@@ -77,10 +78,15 @@ def simhash(docs, far=4):
         for b in root:
             if (a ^ b).bit_count() <= far:
                 root[max(find(a), find(b))] = min(find(a), find(b))
+    return [(p, find(p)) for p in prints]
+
+
+def simhash(docs, far=4):
+    roots = simhash_roots(docs, far)
     least = defaultdict(lambda: LAST)
-    for (doc_id, _), p in zip(docs, prints, strict=True):
-        least[find(p)] = min(least[find(p)], key(doc_id))
-    return [(doc_id, f"{p:016x}", None if least[find(p)] == LAST else least[find(p)]) for (doc_id, _), p in zip(docs, prints, strict=True)]
+    for (doc_id, _), (_, r) in zip(docs, roots, strict=True):
+        least[r] = min(least[r], key(doc_id))
+    return [(doc_id, f"{p:016x}", None if least[r] == LAST else least[r]) for (doc_id, _), (p, r) in zip(docs, roots, strict=True)]
 
 
 def substring_dedup(docs, k=20):

@@ -61,7 +61,7 @@ def test_simhash_chains_and_tiles(spark):
         values.add(value)
     values |= {rng.getrandbits(64) for _ in range(200)}
     signed = lambda v: v - (1 << 64) if v >> 63 else v
-    classes = spark.createDataFrame([(signed(v),) for v in sorted(values)], "print bigint")
+    classes = spark.createDataFrame([(signed(v), i % 50) for i, v in enumerate(sorted(values))], "print bigint, id bigint")
     expected = {frozenset((a, b)) for a in values for b in values if a < b and (a ^ b).bit_count() <= 4}
     for tile in (2048, 8):  # with small tiles every block is dealt out
         found = prints.links(classes, tile=tile).collect()
@@ -73,9 +73,9 @@ def test_simhash_chains_and_tiles(spark):
             return x
 
         for row in found:
-            root[find(row.u)] = find(row.v)
+            root[find(row.u.print)] = find(row.v.print)
         assert all(find(signed(a)) == find(signed(b)) for a, b in map(tuple, expected))
-        linked = {frozenset((row.u, row.v)) for row in found}
+        linked = {frozenset((row.u.print, row.v.print)) for row in found}
         whole = {signed(v): signed(v) for v in values}
         for a, b in map(tuple, expected):
             whole[find(signed(a), whole)] = find(signed(b), whole)

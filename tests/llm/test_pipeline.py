@@ -6,7 +6,7 @@ from collections import Counter
 
 import corpus_pipeline as P
 import pytest
-from brute import decontaminate, line_dedup, simhash, targets
+from brute import decontaminate, key, line_dedup, simhash_roots, targets
 from pyspark.sql import functions as F
 from support import SF, rows
 
@@ -47,13 +47,12 @@ def test_stages(spark, documents, made, sf_dir):
     assert Counter((r.doc_id, sha(r.text)) for r in dropped.collect()) == Counter((x[0], x[3]) for x in lines)
     assert {r.doc_id: r.n_chars for r in dropped.collect()}[53] < {r[0]: len(r[1] or "") for r in made}[53]
 
-    groups = simhash([(r[0], r[1]) for r in made])
+    named = [(r[0], r[1]) for r in made]
+    group = {d: root for d, (_, root) in zip(named, simhash_roots(named), strict=True)}
     chosen = plain(stage["SimHash near-dedup"](spark, documents, sf_dir))
-    component = {}
-    for (i, f, c), r in zip(groups, made, strict=True):
-        component[r[0], r[1]] = (c if c is not None else f)
-    assert len(chosen) == len(set(component.values())) and len({component[x[0], x[1]] for x in chosen}) == len(chosen)
-    assert all(x[0] == component[x[0], x[1]] for x in chosen if x[0] is not None)
+    assert len(chosen) == len(set(group.values())) and len({group[x[0], x[1]] for x in chosen}) == len(chosen)
+    least = {root: min(key(i) for i, t in named if group[i, t] == root) for root in group.values()}
+    assert all(key(x[0]) == least[group[x[0], x[1]]] for x in chosen)
 
     item = [(0, next(r[1] for r in made if r[0] == 10)), (1, None)]
     clean = [r for r, x in zip(made, decontaminate([(r[0], r[1]) for r in made], item), strict=True) if not x[5]]
@@ -111,3 +110,12 @@ def test_many_rows_without_id_stay_apart(spark, sf_dir):
     assert {r.text for r in stage["SimHash near-dedup"](spark, docs, sf_dir).collect()} == set(texts)
     half = docs.where(F.col("text").isin(texts[:1250]))
     assert Counter(plain(P._only(docs, P.keyed(half)))) == Counter(plain(half))
+
+
+def test_rows_of_one_id_are_copies_by_text_alone(spark, sf_dir):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(2500)]
+    rows = [(7, t, "en", "web", len(t)) for t in texts] + [(8, texts[0], "en", "web", 1), (6, texts[1], "en", "web", 1), (7, texts[2], "en", "web", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = dict(P.STAGES)["SimHash near-dedup"](spark, docs, sf_dir).collect()
+    assert Counter(r.text for r in kept) == Counter(texts) and {r.doc_id for r in kept if r.text == texts[1]} == {6}
