@@ -59,12 +59,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of least doc_id, of each group of near copies."""
     found = simhash.near_duplicates(docs)
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print "), F.col("fingerprint")))
-    first = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "tag")).alias("first"))
+    # Groups go by the fingerprint that names their component: rows that share a doc_id need not be copies.
+    first = found.groupBy("group").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "tag")).alias("first"))
     kept = first.select(F.col("first.id").alias("_id"), F.col("first.tag").alias("_tag"))
     rows = _Rows(docs)
-    turn = F.row_number().over(Window.partitionBy("_id", "_tag").orderBy("_id"))  # of repeated rows one stays
-    return rows.restored(rows.frame.join(kept, ["_id", "_tag"], "left_semi").withColumn("_turn", turn).where("_turn = 1"))
+    # Of repeated rows one stays.
+    return rows.restored(rows.frame.join(kept, ["_id", "_tag"], "left_semi").dropDuplicates(["_id", "_tag"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
