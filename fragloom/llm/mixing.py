@@ -1,7 +1,8 @@
 """Mixing sources to target weights.  DataFrame operations only.
 
 Each source's documents are laid end to end, and their words packed into blocks of
-``block_words`` (the last may be shorter).  A source's target says how many block slots it gets.
+``block_words``, or of a ``PARTS``th of a source that is smaller (the last may be shorter), so that whole
+blocks come near its target.  A source's target says how many block slots it gets.
 Slots are dealt to output shards at random, which draws each source's counts over the shards
 from a multinomial distribution while its total stays exact.  Within a source, slot t stands for
 the block that a pseudorandom permutation of the block indexes gives for t modulo the number of
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fragloom.llm.spans import picked, tag_of
 from fragloom.storage import materialise
 
-BLOCK_WORDS, SHARD_SLOTS, MOST, SEED = 128, 8192, 3, 17
+BLOCK_WORDS, PARTS, SHARD_SLOTS, MOST, SEED = 128, 512, 8192, 3, 17
 RUN = 4096  # slots that one row spells out
 
 
@@ -119,23 +120,24 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, most: int = MOST, seed:
     size = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
     tag = tag_of(text)
     sized = materialise(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), tag.alias("tag"), F.col("source").cast("string").alias("source"), size.alias("size")))
-    goals = materialise(targets(sized, most))
-    blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")
+    unit = F.greatest(F.lit(1), F.least(F.lit(block_words), F.ceil(F.col("source_size") / PARTS))).cast("bigint")
+    goals = materialise(targets(sized, most).withColumn("unit", unit))
+    blocks = F.ceil(F.col("source_size") / F.col("unit")).cast("bigint")
     slots = F.when(F.col("source_size") > 0, F.round(F.col("target") * blocks / F.col("source_size"))).otherwise(0).cast("bigint")
     drawn = materialise(slot_table(goals.select("source", blocks.alias("blocks"), slots.alias("slots")), seed, shard_slots))
-    laid = materialise(placed(sized, sized.count()))
-    span = F.sequence(F.floor(F.col("place") / block_words), F.floor((F.col("place") + F.col("size") - 1) / block_words))
+    whole = goals.withColumnRenamed("source", "s")
+    laid = placed(sized, sized.count())
+    laid = materialise(laid.join(whole, laid["source"].eqNullSafe(whole["s"])).drop("s"))
+    span = F.sequence(F.floor(F.col("place") / F.col("unit")), F.floor((F.col("place") + F.col("size") - 1) / F.col("unit")))
     pieces = laid.where("size > 0").withColumn("block", F.explode(span))
-    begin, end = F.greatest("place", F.col("block") * block_words), F.least(F.col("place") + F.col("size"), (F.col("block") + 1) * block_words)
+    begin, end = F.greatest("place", F.col("block") * F.col("unit")), F.least(F.col("place") + F.col("size"), (F.col("block") + 1) * F.col("unit"))
     pieces = pieces.select("source", "block", "doc_id", "tag", "place", (begin - F.col("place")).alias("first"), (end - begin).alias("words"))
     times = drawn.groupBy(F.col("source").alias("s"), F.col("block").alias("b")).agg(F.count("*").alias("times"))
     used = pieces.join(times, pieces["source"].eqNullSafe(times["s"]) & (pieces["block"] == times["b"]))
     taken = used.groupBy(F.col("source").alias("s"), F.col("place").alias("p")).agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     # A document with words is named by its source and place; one without takes nothing.
     named = laid.join(taken, laid["source"].eqNullSafe(taken["s"]) & (laid["place"] == taken["p"]) & (laid["size"] > 0), "left")
-    whole = goals.withColumnRenamed("source", "s")
-    documents = named.drop("s", "p").join(whole, F.col("source").eqNullSafe(whole["s"]))
-    documents = documents.select("doc_id", "tag", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+    documents = named.select("doc_id", "tag", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
     return Mix(documents, drawn, pieces.drop("place"))
 
 
