@@ -2,9 +2,9 @@
 
 The kernel of two texts is the number of character-class n-grams, n from 1 to 3, that both hold,
 over the root of what each holds: the normalised blended-spectrum presence kernel.  It is taken
-over the n-grams that occur in the training sample.  ``PER_LANGUAGE`` training documents a language (least hash first,
-for at most ``LANGUAGES`` languages, the most frequent) are the bounded, documented sample of
-labelled rows; the first ``LANDMARKS`` of them a language are landmarks.  Texts are mapped by
+over the n-grams that occur in the training sample.  ``PER_LANGUAGE`` different training documents a language, least hash
+first, and fewer where a language has none or where all would be more than ``SAMPLE``, are the bounded, documented
+sample of labelled rows; every language has at least one.  The first ``LANDMARKS`` of them a language are landmarks.  Texts are mapped by
 their kernel values to the landmarks (Nystroem), and one-versus-rest ridge regression gives
 a score for each language.  Prediction is two matrix products for a batch of texts.
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from fragloom.llm import arrays as A
 from fragloom.llm.spans import picked, received, sent
 
-PER_LANGUAGE, LANDMARKS, LANGUAGES, RIDGE = 200, 32, 100, 1e-3
+PER_LANGUAGE, LANDMARKS, SAMPLE, RIDGE = 200, 32, 8000, 1e-3
 
 #: Chunks are small: a chunk's presence matrix has a row for each document and a column for each n-gram.
 CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 128
@@ -144,19 +144,20 @@ def _rows(docs, id_col, text_col):
     return picked(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), held_out.alias("held_out"), text.alias("text"), text.rlike(r"\p{L}").alias("letters"))
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, languages: int = LANGUAGES, ridge: float = RIDGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model from a bounded sample: the per_language documents of least hash of each of the most frequent languages, held-out ones left out."""
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, most: int = SAMPLE, ridge: float = RIDGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """A model from a bounded sample: of each language the per_language different documents of least hash, held-out ones left out, or as many as ``most`` in all allow."""
     docs = picked(docs, doc_id=id_col, text=text_col, lang=lang_col)
     learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
     labelled = docs.where("lang is not null and doc_id is not null and text is not null").where(learned)
-    labelled = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    most = [x[0] for x in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.where(F.col("lang").isin(most)) if most else labelled.where("false")
+    text = F.col("text").cast("string")
+    labelled = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    named = labelled.select("doc_id", "tag", "lang").distinct()
+    languages = labelled.select("lang").distinct().count()
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "tag"), "doc_id", "tag")
     # The rank filter goes below the shuffle, so a frequent language does not gather in one task.
-    chosen = chosen.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language).select(F.col("doc_id").alias("_id"), "lang", "rank")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    training = texts.join(F.broadcast(chosen), "_id").select(F.col("_id").alias("doc_id"), "lang", "rank", "text")
+    chosen = named.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= max(1, min(per_language, most // max(1, languages))))
+    # Only rows that were labelled so are learned from, and of repeated ones one.
+    training = labelled.join(F.broadcast(chosen), ["doc_id", "tag", "lang"]).dropDuplicates(["doc_id", "tag", "lang"]).select("doc_id", "lang", "rank", "text")
     sample = training.mapInArrow(_codes, "lang string, rank int, doc_id bigint, codes array<int>").collect()
     sample = sorted((x.lang, x.rank, x.doc_id, tuple(x.codes)) for x in sample)
     return Model([(lang, rank, np.array(codes, np.int64)) for lang, rank, _, codes in sample], landmarks, ridge)
