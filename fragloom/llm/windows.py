@@ -55,12 +55,18 @@ class Words:
         return self.stop[units - 1]
 
 
+#: Bytes of text of a part, which is one group in a worker.
+PART_BYTES = 16 << 20
+
+
 def dealt(docs: DataFrame, id_col: str, text_col: str, parts: int | None) -> tuple[DataFrame, int]:
-    """part and spans.keyed() of docs, with a tag of 64 bits, and the number of parts: by default that of shuffle partitions.
+    """part and spans.keyed() of docs, with a tag of 64 bits, and the number of parts: by default that of shuffle partitions, or more if they would hold more than PART_BYTES.
 
     Rows are dealt by id and tag, so that rows without id do not gather in one part.
     """
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        size = S.picked(docs, text=text_col).agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     rows = S.keyed(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
     part = F.pmod(F.xxhash64(F.col("id").bitwiseXOR(F.col("tag"))), F.lit(parts))
     return rows.select(part.cast("int").alias("part"), "doc_id", "id", "tag", "text"), parts
