@@ -31,7 +31,7 @@ from fragloom.operators.components import components
 from fragloom.storage import materialise
 
 SHINGLE, SEED, FAR = 4, 42, 4
-PIVOTS, TILE, BUCKET_ROWS = 64, 2048, 1 << 18
+PIVOTS, TILE, BUCKET_ROWS, SPREAD = 64, 2048, 1 << 18, 8
 
 
 def fingerprints(data, bounds):
@@ -167,8 +167,10 @@ def near_duplicates(docs: DataFrame, far: int = FAR, id_col: str = "doc_id", tex
     # A class is named by its least id and its print, so the least class of a component, its root, tells its least id:
     # nothing has to meet by root, which a great many classes may share.
     roots = components(links(classes, far)).select(F.col("node.print").alias("print"), "root")
-    of = classes.join(roots, "print", "left").select("print", F.coalesce("root", F.struct("id", "print")).alias("root"))
-    joined = printed.join(of, "print", "left")
+    of = materialise(classes.join(roots, "print", "left").select("print", F.coalesce("root", F.struct("id", "print")).alias("root")))
+    # A print that very many documents share is spread over SPREAD keys; both sides are written, so AQE may split it further.
+    spread = of.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    joined = printed.withColumn("turn", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int")).join(spread, ["print", "turn"])
     hexed = lambda column: F.lower(F.lpad(F.hex(column), 16, "0"))
     component = F.when(F.col("root.id") != S.NULL_ID, F.col("root.id"))
     return joined.select("doc_id", "tag", hexed("print").alias("fingerprint"), component.alias("component_id"), hexed("root.print").alias("group"))

@@ -1,11 +1,13 @@
 """Each operator against brute force over awkward rows, and over no rows."""
 
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from brute import base_measures, decontaminate, greedy_pieces, line_dedup, maximal_chats, simhash, substring_dedup, suffix_dedup, targets, with_clashes
+from pyspark.sql import functions as F
 
 from fragloom.llm import arrays as A
 from fragloom.llm import blobs, bytemodel, chat, decontamination, langid, line_dedup as lines, mixing, quality, simhash as prints, spans, substring_dedup as words, suffix_dedup as suffixes, superkmer, token_counts
@@ -100,16 +102,48 @@ def test_line_dedup(documents, made):
         same(out, line_dedup(pairs(made)), ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
 
-def test_line_runs_tell_fresh_lines(spark):
-    runs = lines.LineRuns(fanout=2)
-    batch = lambda *names: spark.createDataFrame([(bytes(n, "ascii"), 1, i) for i, n in enumerate(names)], "hash binary, n_docs bigint, last bigint")
-    seen = set()
-    for names in (("a", "b"), ("b", "c"), ("a", "d"), ("d", "e"), ("f",)):
-        assert {bytes(r.hash).decode() for r in runs.fresh(batch(*names)).collect()} == set(names) - seen
-        runs.add(batch(*names))
-        seen |= set(names)
+def _batch(spark, *names):
+    return spark.createDataFrame([(bytes(n, "ascii"), 1, i) for i, n in enumerate(names)], "hash binary, n_docs bigint, last bigint").groupBy("hash").agg(F.sum("n_docs").alias("n_docs"), F.max("last").alias("last"))
+
+
+def test_line_runs(spark, tmp_path):
+    runs, seen = lines.LineRuns(spark, str(tmp_path / "runs"), fanout=2), Counter()
+    for names in (("a", "b"), ("b", "c"), ("a", "d"), ("d", "e", "b"), ("f",)):
+        batch = _batch(spark, *names)
+        assert {bytes(r.hash).decode() for r in runs.fresh(batch).collect()} == set(names) - set(seen)
+        known = runs.known(batch)
+        seen.update(names)
+        assert {bytes(r.hash).decode(): r.n_docs for r in known.collect()} == {n: seen[n] for n in names if seen[n] > 1} if known else len(runs.runs) == 0
+        runs.add(batch)
         assert all(len(level) < 2 for level in runs.levels)
-    assert {bytes(r.hash).decode(): r.n_docs for r in runs.totals().collect()} == {"a": 2, "b": 2, "c": 1, "d": 2, "e": 1, "f": 1}
+    assert {bytes(r.hash).decode(): r.n_docs for r in runs.totals().collect()} == seen
+    runs.close()
+    # Another opens the folder and goes on.
+    again = lines.LineRuns(spark, str(tmp_path / "runs"), fanout=2)
+    again.add(_batch(spark, "a", "g"))
+    assert {bytes(r.hash).decode(): r.n_docs for r in again.totals().collect()} == seen + Counter("ag")
+    assert {bytes(r.hash).decode(): r.last for r in again.totals().collect()} == {"a": 0, "b": 2, "c": 1, "d": 1, "e": 1, "f": 0, "g": 1}
+    with again._sorted_scans():
+        plan = again.fresh(_batch(spark, "a"))._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("Exchange hashpartitioning(hash") == 1 and "SortMergeJoin" in plan
+    again.close()
+
+
+@pytest.mark.parametrize("broken", ["none", "all"])
+def test_verdicts_come_from_the_anti_join(spark, made, documents, monkeypatch, broken):
+    monkeypatch.setattr(lines.LineRuns, "fresh", lambda self, batch: batch.limit(0) if broken == "none" else batch)
+    if broken == "all":
+        monkeypatch.setattr(lines.LineRuns, "known", lambda self, batch: None)
+    found = Counter((r.doc_id, r.n_dropped) for r in lines.line_dedup(documents).collect())
+    assert found != Counter((x[0], x[2]) for x in line_dedup(pairs(made)))
+
+
+def test_line_dedup_goes_on_from_stored_runs(spark, tmp_path):
+    line = "a line that is certainly long enough to be told from others"
+    docs = lambda ids: spans.keyed(spark.createDataFrame([(i, f"{line}\nown {i}") for i in ids], "doc_id bigint, text string"))
+    runs = lines.LineRuns(spark, str(tmp_path / "runs"))
+    assert lines.dropped_lines(docs(range(3)), runs=runs).count() == 0
+    assert sorted(r.id for r in lines.dropped_lines(docs(range(3, 7)), runs=runs).collect()) == [3, 4, 5]
 
 
 def test_quality(documents, made):
@@ -309,6 +343,32 @@ def test_mixing(documents, made):
     assert sum(taken.values()) == sum(words_of[k] * n for k, n in used.items())
 
 
+def test_small_sources_come_near_their_targets(spark):
+    sizes = {"a": 100, "b": 30, "c": 1, "d": 7, None: 5000, "e": 90000}
+    rows = [(i, " ".join(["w"] * (n // 5)) if n >= 5 else "w", x) for x, n in sizes.items() for i in range(5 if n >= 5 else 1)]
+    whole = Counter()
+    for _, t, x in rows:
+        whole[x] += len(t.split())
+    taken = Counter()
+    for r in mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).documents.collect():
+        taken[r.source] += r.taken
+        assert r.taken <= 3 * r.size
+    expected = targets(whole)
+    assert all(abs(taken[x] - expected[x]) <= max(1, whole[x] / 256) for x in whole)
+
+
+def test_language_id_learns_from_labelled_rows_only(spark, monkeypatch):
+    sampled = []
+    monkeypatch.setattr(langid, "Model", lambda sample, landmarks, ridge: sampled.extend(sample))
+    rows = [(1, "a labelled text", "en")] + [(1, f"text without a label {i}", None) for i in range(3)] + [(2, f"other {i % 3}", "de") for i in range(300)]
+    langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert [(lang, rank) for lang, rank, _ in sampled] == [("de", 1), ("de", 2), ("de", 3), ("en", 1)]
+    many = [(7 * i, f"text {'abcdefghij'[i % 10]} {i}", f"l{i % 150}") for i in range(900)]
+    sampled.clear()
+    langid.train(spark.createDataFrame(many, "doc_id bigint, text string, lang string"), most=300)
+    assert len({lang for lang, _, _ in sampled}) == len({r[2] for r in many if zlib.crc32(str(r[0]).encode()) % 5}) and len(sampled) <= 300
+
+
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 10, "c": 1000}, {"a": 0, "b": 5, None: 7}, {"a": 1}, {"a": 0}, {"a": 1000, "b": 1, "c": 2, "d": 3, "e": 400}])
 def test_mixing_targets(spark, sizes):
     frame = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size bigint")
@@ -317,8 +377,6 @@ def test_mixing_targets(spark, sizes):
 
 
 def test_permutations(spark):
-    from pyspark.sql import functions as F
-
     for n in (1, 2, 3, 7, 64, 1000, 4097):
         row = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("bigint"), [F.lit(1)]).alias("x"), mixing.permuted(F.col("id"), F.lit(n).cast("bigint"), [F.lit(2)]).alias("y")).collect()
         assert sorted(r.x for r in row) == list(range(n)) and sorted(r.y for r in row) == list(range(n))
