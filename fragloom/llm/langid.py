@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fragloom.llm import arrays as A
 from fragloom.llm.spans import picked, received, sent
+from fragloom.storage import materialise
 
-PER_LANGUAGE, LANDMARKS, SAMPLE, RIDGE = 200, 32, 8000, 1e-3
+PER_LANGUAGE, LANDMARKS, SAMPLE, RIDGE, BINS = 200, 32, 8000, 1e-3, 1 << 16
 
 #: Chunks are small: a chunk's presence matrix has a row for each document and a column for each n-gram.
 CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 128
@@ -151,11 +152,17 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LA
     labelled = docs.where("lang is not null and doc_id is not null and text is not null").where(learned)
     text = F.col("text").cast("string")
     labelled = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
-    named = labelled.select("doc_id", "tag", "lang").distinct()
+    bin_ = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(BINS))
+    named = labelled.select("doc_id", "tag", "lang").distinct().withColumn("bin", bin_)
     languages = labelled.select("lang").distinct().count()
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "tag"), "doc_id", "tag")
-    # The rank filter goes below the shuffle, so a frequent language does not gather in one task.
-    chosen = named.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= max(1, min(per_language, most // max(1, languages))))
+    each = max(1, min(per_language, most // max(1, languages)))
+    # Only rows up to the bin that completes a language's sample are ranked, so a frequent language does not gather in one task.
+    before = F.sum("count").over(Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    bins = named.groupBy("lang", "bin").count().withColumn("before", F.coalesce(before, F.lit(0)))
+    last = materialise(bins.where(F.col("before") < each).groupBy("lang").agg(F.max("bin").alias("last_bin")))
+    near = named.join(last, "lang").where(F.col("bin") <= F.col("last_bin"))
+    first = Window.partitionBy("lang").orderBy("bin", "doc_id", "tag")
+    chosen = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= each).select("doc_id", "tag", "lang", "rank")
     # Only rows that were labelled so are learned from, and of repeated ones one.
     training = labelled.join(F.broadcast(chosen), ["doc_id", "tag", "lang"]).dropDuplicates(["doc_id", "tag", "lang"]).select("doc_id", "lang", "rank", "text")
     sample = training.mapInArrow(_codes, "lang string, rank int, doc_id bigint, codes array<int>").collect()
