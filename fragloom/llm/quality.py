@@ -29,7 +29,7 @@ from fragloom.llm import bytemodel
 from fragloom.llm import spans as S
 from fragloom.storage import materialise
 
-WIDTH, LEAST_WIDTH = 4.0, 0.25
+WIDTH, LEAST_WIDTH = 6.0, 0.25
 #: Steps in which log perplexities and their distances from the median are counted.
 STEP, FAR_STEP = 0.002, 0.02
 #: The upper quartile of the distances of a normal variable, over its standard deviation.
