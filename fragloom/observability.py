@@ -43,6 +43,26 @@ class Metrics:
         return "\n".join(lines + [f"{name}{{{label}}} {value:g}" if label else f"{name} {value:g}" for (name, label), value in self.values.items()]) + "\n"
 
 
+def rate(before: dict, after: dict, name: str, seconds: float) -> dict[str, float]:
+    """How much a counter grew a second between two states of Metrics.values, by label; one that went back began anew."""
+    grown = {label: (value, before.get((n, label), 0.0)) for (n, label), value in after.items() if n == name}
+    return {label: (new - old if new >= old else new) / seconds for label, (new, old) in grown.items()}
+
+
+def bucket_quantile(values: dict, name: str, share: float) -> float | None:
+    """A quantile of a histogram in Metrics.values, even inside its bucket; None without observations, and the last bound beyond it."""
+    total = values.get((f"{name}_count", ""), 0)
+    if not total:
+        return None
+    low, below = 0.0, 0.0
+    for bound in BUCKETS:
+        upto = values.get((f"{name}_bucket", f'le="{bound:}"'), 0)
+        if upto >= share * total:
+            return low + (bound - low) * ((share * total - below) / (upto - below) if upto > below else 1.0)
+        low, below = bound, upto
+    return float(BUCKETS[-1])
+
+
 class StreamMetrics(StreamingQueryListener):
     """Feeds a stream's progress into metrics."""
 

@@ -8,6 +8,7 @@ from fragloom.functions.text import norm_name
 from fragloom.functions.trigram import similarity, trigrams
 from fragloom.operators.components import components
 from fragloom.operators.schema import FIELDS
+from fragloom.storage import materialise
 
 #: How alike names under one passport must be, what a name needs to say enough, and a merge's note.
 MERGE_SIMILARITY = 0.85
@@ -23,8 +24,9 @@ def eligible_name(name: Column) -> Column:
 def passport_links(persons: DataFrame, threshold: float = MERGE_SIMILARITY) -> DataFrame:
     """u, v: persons with one passport and similar names.
 
-    Equal names under a passport are a star around the least id; only different names are compared,
-    each with its trigrams worked out once.
+    Equal names under a passport are a star around the least id.  Of the different ones only those meet that share one of
+    their first trigrams in one order of all: two sets with a similarity of t share one of the first n - ceil(t n) + 1 of
+    either's n.  So a passport that very many persons bear, such as a placeholder, is not compared all with all.
     """
     named = persons.where("passport is not null and norm_name is not null").select("id", "passport", "norm_name")
     names = named.groupBy("passport", "norm_name").agg(F.min("id").alias("least"), F.count("*").alias("n"))
@@ -32,9 +34,13 @@ def passport_links(persons: DataFrame, threshold: float = MERGE_SIMILARITY) -> D
     stars = named.join(several, ["passport", "norm_name"]).where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
     shared = names.groupBy("passport").count().where("count > 1").select("passport")
     side = names.join(shared, "passport", "left_semi").withColumn("t", trigrams(F.col("norm_name")))
-    a, b = side.alias("a"), side.alias("b")
-    pairs = a.join(b, (F.col("a.passport") == F.col("b.passport")) & (F.col("a.norm_name") < F.col("b.norm_name")))
-    alike = pairs.where(similarity(F.col("a.t"), F.col("b.t")) >= threshold)
+    size = F.size("t")
+    enough = F.greatest(F.lit(1), size - F.ceil(size * (threshold - 1e-6)) + 1).cast("int")
+    grams = F.slice(F.array_sort(F.transform("t", lambda g: F.xxhash64(g))), F.lit(1), enough)
+    marked = materialise(side.withColumn("gram", F.explode(grams)))
+    a, b = marked.alias("a"), marked.alias("b")
+    pairs = a.join(b, (F.col("a.passport") == F.col("b.passport")) & (F.col("a.gram") == F.col("b.gram")) & (F.col("a.norm_name") < F.col("b.norm_name")))
+    alike = pairs.where(similarity(F.col("a.t"), F.col("b.t")) >= threshold).distinct()
     return stars.unionByName(alike.select(F.col("a.least").alias("u"), F.col("b.least").alias("v")))
 
 
@@ -77,13 +83,14 @@ def consolidate(persons: DataFrame, threshold: float = MERGE_SIMILARITY) -> Data
 def manual_merge(persons: DataFrame, reviews: DataFrame, ids: list[int]) -> tuple[DataFrame, DataFrame]:
     """(persons, reviews) after a person decided that two rows are one; the loser's key is traced to the survivor's.
 
-    Raises ValueError unless there are exactly two different ids and both exist; nothing has changed then.
+    An id may be named more than once.  Raises ValueError unless there are exactly two different ids and both exist; nothing has changed then.
     """
-    if len(set(ids)) != 2 or len(ids) != 2:
+    ids = sorted(set(ids))
+    if len(ids) != 2:
         raise ValueError("a merge takes exactly two different ids")
     if persons.where(F.col("id").isin(ids)).select("id").distinct().count() != 2:
         raise ValueError("a person to merge does not exist")
-    low, high = sorted(ids)
+    low, high = ids
     losers = persons.sparkSession.createDataFrame([(high, low)], "loser bigint, survivor bigint")
     return survive(persons, losers), with_merge_decisions(persons, reviews, losers, MANUAL_NOTE)
 

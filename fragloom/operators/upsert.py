@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fragloom.functions.text import norm_name
 from fragloom.operators.linking import first_value
 from fragloom.operators.schema import FIELDS, field_type
+from fragloom.storage import materialise
 
 COLUMNS = ["id", "match_key", *FIELDS, "norm_name", "created_at", "updated_at"]
 
@@ -17,9 +18,25 @@ def require_keys(persons: DataFrame) -> DataFrame:
     return persons.withColumn("match_key", F.when(bad, F.raise_error(F.lit("a person needs a match key")).cast("string")).otherwise(F.col("match_key")))
 
 
-def upsert(persons: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def rows_sent(persons: DataFrame) -> int:
+    """How many rows an upsert of persons touches: one for each match key."""
+    return require_keys(persons).select("match_key").distinct().count()
+
+
+def _kept(field: str, nulls_only: bool) -> Column:
+    """An aggregate: the first value that is not blank, a stored one first; with nulls_only a stored blank stands, too."""
+    if not nulls_only:
+        return first_value(field, "place")
+    value = F.col(field)
+    held = F.when(F.col("place.turn") == 0, value.isNotNull()).otherwise(value.cast("string") != "")
+    return F.min_by(F.when(held, value), F.when(held, F.col("place")))
+
+
+def upsert(persons: DataFrame, existing: DataFrame | None = None, nulls_only: bool = False) -> DataFrame:
     """The table after persons (match_key, fields, seq, updated_at) came in order of seq: rows keep what they have, and blanks are filled.
 
+    With nulls_only, as a batch sent in one statement does it, only stored nulls are filled and stored empty strings stay.
+
     New rows get the next ids, in order of their first person.  norm_name follows the full name that a
     row ends up with.  Bringing the same persons again changes no value.
     """
@@ -28,14 +45,14 @@ def upsert(persons: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     if existing is not None:
         rows = existing.select(F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("seq"), "id", "match_key", *FIELDS, "created_at", "updated_at").unionByName(new)
     ordered = rows.withColumn("place", F.struct("turn", "seq"))
-    merged = ordered.groupBy("match_key").agg(F.max("id").alias("id"), F.min("place").alias("place"), *(first_value(f, "place").cast(field_type(f)).alias(f) for f in FIELDS), F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
-    return with_ids(merged).withColumn("norm_name", norm_name(F.col("full_name"))).select(*COLUMNS)
+    merged = ordered.groupBy("match_key").agg(F.max("id").alias("id"), F.min("place").alias("place"), *(_kept(f, nulls_only).cast(field_type(f)).alias(f) for f in FIELDS), F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"))
+    return with_ids(materialise(merged)).withColumn("norm_name", norm_name(F.col("full_name"))).select(*COLUMNS)
 
 
 def with_ids(rows: DataFrame, chunk: int = 100_000) -> DataFrame:
     """rows whose id is null get the next ids after the greatest, in order of place.
 
-    Rows are counted in ranges of seq first, so no task orders more than a range of them.
+    Rows are counted in ranges of seq first, so no task orders more than a range of them.  rows is read four times: write it first.
     """
     known = rows.where("id is not null")
     top = known.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()

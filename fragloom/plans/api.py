@@ -64,12 +64,19 @@ def persons_total(persons: DataFrame, **filters: str | None) -> int:
     return persons.where(person_filter(**filters)).count()
 
 
+def persons_list(persons: DataFrame, limit: int = PAGE, offset: int = 0, **filters: str | None) -> dict:
+    """A page as it is answered: total, count, limit, offset and items."""
+    items = [row.asDict() for row in persons_page(persons, limit, offset, **filters).collect()]
+    return {"total": persons_total(persons, **filters), "count": len(items), "limit": limit, "offset": offset, "items": items}
+
+
 def person(persons: DataFrame, id: int) -> DataFrame:
     """The person with that id; NotFound if there is none."""
-    row = persons.where(F.col("id") == id).select(*PERSON_COLUMNS)
-    if row.isEmpty():
+    found = persons.where(F.col("id") == id).select(*PERSON_COLUMNS).limit(1)
+    rows = found.collect()
+    if not rows:
         raise NotFound(id)
-    return row
+    return persons.sparkSession.createDataFrame(rows, found.schema)
 
 
 def stats(persons: DataFrame) -> dict:
@@ -102,16 +109,27 @@ def groups_total(groups: DataFrame, min_confidence: float = 0.5) -> int:
     return groups.where(F.col("max_confidence") >= min_confidence).count()
 
 
-def gold_page(gold: DataFrame, limit: int = PAGE, after_id: int = 0, **filters: str | None) -> DataFrame:
-    """The page after an id, with one row more than asked for if there is one: that is has_more."""
+def gold_page(gold: DataFrame, limit: int = PAGE, after_id: int | None = 0, offset: int = 0, **filters: str | None) -> DataFrame:
+    """The page after an id, or without one from an offset, with one row more than asked for if there is one: that is has_more."""
     _limit(limit)
-    return gold.where(person_filter(**filters)).where(F.col("id") > after_id).orderBy("id").limit(limit + 1).select(*PERSON_COLUMNS, "completeness")
+    _within("offset", offset, 0, 1 << 62)
+    rows = gold.where(person_filter(**filters))
+    rows = rows.orderBy("id").offset(offset) if after_id is None else rows.where(F.col("id") > after_id).orderBy("id")
+    return rows.limit(limit + 1).select(*PERSON_COLUMNS, "completeness")
 
 
 def gold_cursor(rows: list, limit: int) -> dict:
-    """has_more and next_cursor for the rows of gold_page."""
-    more = len(rows) > limit
-    return {"has_more": more, "next_cursor": rows[limit - 1]["id"] if more else None, "items": rows[:limit]}
+    """has_more and next_cursor, the last id shown, for the rows of gold_page."""
+    shown = rows[:limit]
+    return {"has_more": len(rows) > limit, "next_cursor": shown[-1]["id"] if shown else None, "items": shown}
+
+
+def gold_list(gold: DataFrame | None, limit: int = PAGE, after_id: int | None = None, offset: int = 0, with_total: bool = False, **filters: str | None) -> dict:
+    """A page as it is answered; the total is counted only if asked for.  Before the first refresh it is an empty page."""
+    rows = [] if gold is None else [row.asDict() for row in gold_page(gold, limit, after_id, offset, **filters).collect()]
+    total = (0 if gold is None else gold.where(person_filter(**filters)).count()) if with_total else None
+    page = gold_cursor(rows, limit)
+    return {"total": total, "count": len(page["items"]), "limit": limit, "offset": offset} | page
 
 
 def gold_stats(table: DataFrame | None) -> dict:
@@ -149,12 +167,12 @@ NOTICE = "Results may hold personal data."
 def tools(persons: DataFrame, gold: DataFrame, pairs: DataFrame) -> dict:
     """The closed catalogue of assistant tools, by name."""
     return {
-        "get_stats": lambda: gold_stats(G.gold_stats(gold)),
-        "top_cities": lambda n=10: stats(persons)["top_cities"][:n],
-        "top_companies": lambda n=10: stats(persons)["top_companies"][:n],
+        "get_stats": lambda: stats(persons),
+        "top_cities": lambda limit=10: stats(persons)["top_cities"][:limit],
+        "top_companies": lambda limit=10: stats(persons)["top_companies"][:limit],
         "completeness_distribution": lambda: [tuple(row) for row in G.completeness(gold).collect()],
-        "duplicate_candidates": lambda: [row.asDict() for row in candidates(pairs).collect()],
-        "search_person": lambda q: {"notice": NOTICE, "items": [row.asDict() for row in persons_page(persons, 10, 0, q=q).collect()]},
+        "duplicate_candidates": lambda limit=20: [row.asDict() for row in candidates(pairs, limit).collect()],
+        "search_person": lambda q=None, city=None, company=None, job=None, page=1: {"notice": NOTICE} | persons_list(persons, 10, (page - 1) * 10, q=q, city=city, company=company, job=job),
         **{f"explain_{topic}": (lambda text=text: text) for topic, text in EXPLAINED.items()},
     }
 

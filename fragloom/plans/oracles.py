@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fragloom.functions import text as T
 from fragloom.operators.schema import COMPLETENESS_FIELDS, FIELDS, FRAGMENTS, REQUIRED_FIELDS
-from fragloom.plans.queries import LIFETIME_S, MANUAL_IDS, SALARIES
+from fragloom.plans.queries import APPROVED_ID, LIFETIME_S, MANUAL_IDS, SALARIES
 from fragloom.sources import fixtures as X
 
 
@@ -165,6 +165,12 @@ def _top(table: str, field: str, n: int) -> str:
     return f"select {field}, count(*) as person_count from {table} where {field} is not null group by {field} order by person_count desc, {field} limit {n}"
 
 
+def _upserted_into(phone: str) -> str:
+    full = f"id, match_key, full_name, city, coalesce(company, 'other') as company, {phone} as phone, norm_name"
+    return f"""with {PERSONS} select {full} from persons
+      union all select (select max(id) from persons) + row_number() over (order by id), 'new:' || id, full_name, city, 'other', '7' || id, norm_name from persons"""
+
+
 RAW_KEYS = "['E-Mail', 'Company Address', 'company_email', 'Company Adress', ' Full Name ', 'IPv4']"
 STARRED = "line"
 for _pattern, _instead in T.REDACTIONS:
@@ -197,7 +203,18 @@ ORACLES = {
     "manual_merge": _survived(f"with {PERSONS}, survivors as (select {max(MANUAL_IDS)} as loser, {min(MANUAL_IDS)} as survivor)"),
     "manual_merge_trace": f"""{BOTH}, l as (select match_key from persons where id = {max(MANUAL_IDS)}), s as (select match_key from persons where id = {min(MANUAL_IDS)})
       select match_key, status, cast(null as varchar) as survivor_match_key from reviews where match_key not in (select match_key from l) union all select l.match_key, 'merged', s.match_key from l, s""",
-    "review_upsert": f"{BOTH} select match_key, 'approved' as status, 'note ' || id as note from persons where id % 50 = 0 union all select match_key, status, null from reviews where match_key not in (select match_key from persons where id % 50 = 0)",
+    "review_upsert": f"{BOTH} select match_key, case when id % 2 = 0 then 'approved' else 'merged' end as status, 'note ' || id || ' again' as note from persons union all select match_key, status, null from reviews where match_key not in (select match_key from persons)",
+    "upsert_into_existing": _upserted_into("case when id % 6 = 0 or phone is null then '7' || id else phone end"),
+    "upsert_nulls_only": _upserted_into("case when id % 6 = 0 then '' when phone is null then '7' || id else phone end"),
+    "upsert_rows_sent": f"with {PERSONS} select 2 * count(*) as rows_sent from persons",
+    "bronze_scan": f"with {CLASSIFIED} select seq, value from classified",
+    "reprocessed_persons": f"with {UPSERTED} select id, match_key, {', '.join(FIELDS)}, norm_name, {SECONDS} from upserted",
+    "approved_reviews": f"""{BOTH}, k as (select match_key from persons where id = {APPROVED_ID})
+      select match_key, 'approved' as status, 'seen' as note from k union all select match_key, status, null from reviews where match_key not in (select match_key from k)""",
+    "gold_stats_answer": f"{BOTH}, {GOLD} select count(*) as total_persons, count(iban) as with_bank, round(coalesce(avg(completeness) * 8, 0), 2) as avg_completeness from gold",
+    "assistant_search": f"""with {PERSONS}, hits as (select id, full_name, count(*) over () as total from persons where (full_name ilike '%a%' or company ilike '%a%' or email ilike '%a%') and company ilike '%s%')
+      select total, (select count(*) from persons) as total_persons, (select count(iban) from persons) as with_bank, id, full_name from hits order by id limit 10 offset 10""",
+    "metrics_summary": f"with {CLASSIFIED}, n as (select fragment_type, count(*) as n from classified group by fragment_type) select fragment_type, n / 10.0 as a_second, cast((select count(*) from n) as double) as kinds from n",
     "name_catalog": f"{NAMES} select norm, len(words) as n_words, key2, keyt, n_persons, anchor_id, n_passports from names",
     "name_pairs": f"{PAIRS} select a, b, round(sim, 5) as sim, contain from pairs",
     "duplicate_groups": f"{GROUPS} select group_id, person_id, confidence, reason from groups",
@@ -227,3 +244,4 @@ ORACLES = {
     "new_persons": f"with {PERSONS} select count(*) filter (where id * 60 > 6000) as n_new, count(*) as n_all from persons",
     "firing_size_quantiles": f"with {FOLDED}, q as (select quantile_disc(last_seq - first_seq, [0.5, 0.99]) as q from folded) select unnest([cast(0.5 as double), cast(0.99 as double)]) as share, unnest(q) as value from q",
 }
+ORACLES["published_gold"] = ORACLES["maintained_gold"]

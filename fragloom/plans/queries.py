@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fragloom.functions import text as T, trigram
-from fragloom.observability import quantiles
+from fragloom.observability import Metrics, quantiles, rate
 from fragloom.operators import fragments, gold, linking, merge, reconcile, upsert
 from fragloom.operators.schema import FIELDS
 from fragloom.plans import api
 from fragloom.sources import bronze, fixtures as X
-from fragloom.storage import materialise
+from fragloom.storage import SnapshotSet, materialise, prepare
 
 #: A lifetime that fits the stand-in stream, whose users come back within days: half a day.
 LIFETIME_S = 43_200
@@ -146,8 +148,74 @@ def manual_merge_trace(spark, sf_dir):
 
 
 def review_upsert(spark, sf_dir):
-    rows = persons(spark, sf_dir).where("id % 50 = 0").select(F.col("id").alias("seq"), "match_key", F.lit("approved").alias("status"), F.lit(None).cast("string").alias("survivor_match_key"), F.concat(F.lit("note "), F.col("id")).alias("note"))
-    return upsert.upsert_reviews(rows, X.reviews(spark, sf_dir)).select("match_key", "status", "note")
+    status = F.when(F.col("id") % 2 == 0, "approved").otherwise("merged")
+    note = F.concat(F.lit("note "), F.col("id"))
+    rows = persons(spark, sf_dir).select(F.col("id").alias("seq"), "match_key", status.alias("status"), F.lit(None).cast("string").alias("survivor_match_key"), note.alias("note"))
+    # A second verdict on every key comes later and stands.
+    both = rows.unionByName(rows.withColumns({"seq": F.col("seq") + (1 << 40), "note": F.concat("note", F.lit(" again"))}))
+    return upsert.upsert_reviews(both, X.reviews(spark, sf_dir)).select("match_key", "status", "note")
+
+
+def _gappy(spark, sf_dir):
+    """Silver rows with gaps: a null city or an empty phone, by id."""
+    gaps = {"city": F.when(F.col("id") % 4 != 0, F.col("city")), "phone": F.when(F.col("id") % 6 == 0, F.lit("")).otherwise(F.col("phone"))}
+    return persons(spark, sf_dir).withColumns(gaps)
+
+
+def _incoming(spark, sf_dir):
+    """For every person another row under its key, with all fields, and one under a key of its own."""
+    rows = persons(spark, sf_dir).withColumns({"seq": F.col("id"), "phone": F.concat(F.lit("7"), F.col("id")), "company": F.lit("other")})
+    fresh = rows.withColumns({"seq": F.col("id") + (1 << 40), "match_key": F.concat(F.lit("new:"), F.col("id"))})
+    return rows.unionByName(fresh).select("seq", "match_key", *FIELDS, "updated_at")
+
+
+def upsert_into_existing(spark, sf_dir):
+    return upsert.upsert(_incoming(spark, sf_dir), _gappy(spark, sf_dir)).select("id", "match_key", "full_name", "city", "company", "phone", "norm_name")
+
+
+def upsert_nulls_only(spark, sf_dir):
+    return upsert.upsert(_incoming(spark, sf_dir), _gappy(spark, sf_dir), nulls_only=True).select("id", "match_key", "full_name", "city", "company", "phone", "norm_name")
+
+
+def upsert_rows_sent(spark, sf_dir):
+    sent = upsert.rows_sent(_incoming(spark, sf_dir))
+    return spark.createDataFrame([(sent,)], "rows_sent bigint")
+
+
+# Raw layer and jobs
+
+
+def _folder(spark):
+    """A new folder beside the checkpoints, which all executors share."""
+    prepare(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/tables-{uuid.uuid4().hex}"
+
+
+def _raw(spark, sf_dir):
+    """The raw layer after the stand-in stream was written to it twice in two batches, one of which replaced itself."""
+    folder, rows = _folder(spark), bronze.bronze_rows(_classified(spark, sf_dir))
+    half = rows.agg(F.percentile_approx("kafka_offset", 0.5)).first()[0] or 0
+    for batch, part in ((0, rows.where(F.col("kafka_offset") < half)), (1, rows.where(F.col("kafka_offset") >= half)), (1, rows.where(F.col("kafka_offset") >= half))):
+        bronze.append(part, folder, batch)
+    return bronze.scan(spark, folder)
+
+
+def bronze_scan(spark, sf_dir):
+    return _raw(spark, sf_dir).select("seq", "value")
+
+
+def reprocessed_persons(spark, sf_dir):
+    from fragloom.plans.jobs import ingest
+
+    return _seconds(ingest(_raw(spark, sf_dir), LIFETIME_S)[0])
+
+
+def published_gold(spark, sf_dir):
+    from fragloom.plans.jobs import maintain, publish
+
+    folder = _folder(spark)
+    publish(maintain(persons(spark, sf_dir), X.reviews(spark, sf_dir)), folder)
+    return SnapshotSet(spark, folder).read("gold_persons").select("id", "match_key", "completeness")
 
 
 # Reconcile
@@ -261,6 +329,37 @@ def groups_page(spark, sf_dir):
     return page.select("group_id", "confidence", "reason", F.explode("members").alias("m")).select("group_id", "confidence", "reason", "m.person_id", "m.full_name", "m.city", "m.company")
 
 
+APPROVED_ID = 12
+
+
+def approved_reviews(spark, sf_dir):
+    return api.approve(X.reviews(spark, sf_dir), persons(spark, sf_dir), APPROVED_ID, "seen").select("match_key", "status", "note")
+
+
+def gold_stats_answer(spark, sf_dir):
+    answer = api.gold_stats(gold.gold_stats(_gold(spark, sf_dir)))
+    return spark.createDataFrame([(answer["total_persons"], answer["with_bank"], answer["avg_completeness"])], "total_persons bigint, with_bank bigint, avg_completeness double")
+
+
+def assistant_search(spark, sf_dir):
+    catalogue = api.tools(persons(spark, sf_dir), _gold(spark, sf_dir), _match_candidates(spark, sf_dir))
+    found = catalogue["search_person"](q="a", company="s", page=2)
+    stats, items = catalogue["get_stats"](), found["items"]
+    return spark.createDataFrame([(found["total"], stats["total_persons"], stats["with_bank"], x["id"], x["full_name"]) for x in items], "total bigint, total_persons bigint, with_bank bigint, id bigint, full_name string")
+
+
+def metrics_summary(spark, sf_dir):
+    """What a job's metrics say of the stand-in stream: messages by kind, and a rate and a quantile over them."""
+    metrics = Metrics()
+    before = dict(metrics.values)
+    for kind, n in bronze.counts(bronze.bronze_rows(_classified(spark, sf_dir))).collect():
+        metrics.count("messages_consumed", n, f'fragment_type="{kind}"')
+        metrics.observe("sizes", n)
+    rates = rate(before, metrics.values, "messages_consumed", 10)
+    rows = [(label.split('"')[1], float(value), float(metrics.values["sizes_count", ""])) for label, value in rates.items()]
+    return spark.createDataFrame(rows, "fragment_type string, a_second double, kinds double")
+
+
 def medallion(spark, sf_dir):
     raw = bronze.bronze_rows(_classified(spark, sf_dir))
     return api.medallion(raw, persons(spark, sf_dir), _gold(spark, sf_dir)).withColumn("ratio", F.round("ratio", 6))
@@ -289,5 +388,7 @@ QUERIES = {f.__name__: f for f in (
     merge_survivors, merged_persons, manual_merge, manual_merge_trace, review_upsert,
     name_catalog, name_pairs, duplicate_groups, duplicate_totals, gold_duplicate_groups, group_members,
     gold_persons, gold_stats, gold_top_cities, gold_top_companies, gold_completeness, maintained_gold,
+    upsert_into_existing, upsert_nulls_only, upsert_rows_sent, bronze_scan, reprocessed_persons, published_gold,
+    approved_reviews, gold_stats_answer, assistant_search, metrics_summary,
     persons_page, persons_city, person_lookup, live_stats, live_top_cities, gold_page, match_candidates, groups_page, medallion, new_persons, firing_size_quantiles,
 )}

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> None:
-    """Checkpoints go to spark.checkpoint.dir; only where that is unset (a local session) to a temporary folder."""
+    """Checkpoints go to spark.checkpoint.dir; where that is unset, a local session has a temporary folder and a cluster an error: its executors share no such folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="fragloom-"))
+        if not folder:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="fragloom-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -60,3 +67,26 @@ class Snapshots:
         """Drop all but the last ``keep`` snapshots."""
         for n in self.numbers()[:-keep]:
             self._fs.delete(self._path(f"{self.folder}/v={n}"), True)
+
+
+class SnapshotSet:
+    """Several tables that readers see change together: numbered folders with one Parquet folder for each table.
+
+    A set counts once all its tables are written and its _SUCCESS file is there, which is made last.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.versions = Snapshots(spark, folder)
+
+    def write(self, tables: dict[str, DataFrame]) -> int:
+        number = max(self.versions.numbers(), default=-1) + 1
+        folder = f"{self.versions.folder}/v={number}"
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{folder}/{name}")
+        self.versions._fs.create(self.versions._path(f"{folder}/_SUCCESS"), True).close()
+        return number
+
+    def read(self, name: str) -> DataFrame | None:
+        """A table of the last complete set, or None."""
+        numbers = self.versions.numbers()
+        return self.versions.spark.read.parquet(f"{self.versions.folder}/v={numbers[-1]}/{name}") if numbers else None

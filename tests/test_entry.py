@@ -1,3 +1,4 @@
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -26,3 +27,14 @@ def test_entry(spark):
 
     out = __spark_entry__.entry(spark)
     assert out.columns == ["id", "match_key", "completeness"] and out.count() > 0
+
+
+def test_the_rest_works_where_the_training_data_folders_are_gone(tmp_path):
+    copy = tmp_path / "repo"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "spark-warehouse", "__pycache__", "llm", "corpus_pipeline.py"))
+    assert not (copy / "fragloom" / "llm").exists() and not (copy / "tests" / "llm").exists()
+    code = "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q) and 'pipeline' not in q; print(len(q))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+    assert done.returncode == 0 and int(done.stdout) > 40
+    collected = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "-p", "no:cacheprovider", "-k", "test_waiting or test_rates or test_other_import"], cwd=copy, capture_output=True, text=True)
+    assert collected.returncode == 0, collected.stdout

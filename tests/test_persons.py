@@ -9,7 +9,7 @@ from fragloom.functions.text import norm_name
 from fragloom.observability import Metrics
 from fragloom.operators import fragments, gold, linking, merge, reconcile, upsert
 from fragloom.operators.components import components
-from fragloom.operators.schema import FIELDS
+from fragloom.operators.schema import FIELDS, field_type
 from fragloom.operators.upsert import COLUMNS
 from fragloom.plans import api, jobs
 
@@ -98,6 +98,19 @@ def test_upsert_fills_blanks_only_and_repeats_change_nothing(spark):
     assert plain(first) == plain(second) == plain(again)
 
 
+def test_batch_upsert_fills_nulls_only(spark):
+    stored = people(spark, {"name": "Ana", "phone": "", "city": None}).withColumn("match_key", F.lit("passport:1"))
+    kinds = ", ".join(f"{f} {field_type(f)}" for f in FIELDS)
+    new = lambda seq, **r: (seq, "passport:1" if seq < 9 else "passport:2", *(r.get(f) for f in FIELDS), None)
+    rows = spark.createDataFrame([new(1, name="NO", phone="6", city=""), new(2, city="Rome", salary=2.5), new(9, name="Eva", city=""), new(10, city="Oslo")], f"seq bigint, match_key string, {kinds}, updated_at timestamp")
+    assert upsert.rows_sent(rows) == 2
+    out = {r.match_key: r for r in upsert.upsert(rows, stored, nulls_only=True).collect()}
+    one, two = out["passport:1"], out["passport:2"]
+    assert (one.id, one.name, one.phone, one.city, one.salary) == (1, "Ana", "", "Rome", 2.5) and (two.id, two.name, two.city) == (2, "Eva", "Oslo")
+    again = upsert.upsert(rows, upsert.upsert(rows, stored, nulls_only=True), nulls_only=True)
+    assert again.count() == 2 and {r.match_key: r.phone for r in upsert.upsert(rows, stored).collect()}["passport:1"] == "6"
+
+
 def test_upsert_needs_a_key(spark):
     frame = people(spark, {"match_key": "", "full_name": "A B"}).withColumn("seq", F.lit(1).cast("bigint"))
     with pytest.raises(Exception, match="match key"):
@@ -152,6 +165,27 @@ def test_manual_merge(spark):
             merge.manual_merge(frame, reviews, ids)
 
 
+def test_manual_merge_of_ids_named_twice(spark):
+    frame = people(spark, {"full_name": "Ana Gil"}, {"full_name": "Ana Gil Paz"})
+    rows, reviews = merge.manual_merge(frame, no_reviews(spark), [2, 1, 2])
+    assert [(r.id, r.full_name) for r in rows.collect()] == [(1, "Ana Gil Paz")] and reviews.count() == 1
+
+
+def test_names_under_one_passport_meet_as_if_all_were_compared(spark):
+    rng = random.Random(3)
+    bases = ["alexander thompson", "maria del carmen ruiz", "jo li", "anna", "benedict cumberland"]
+    names = sorted({"".join(c for c in rng.choice(bases) if rng.random() > 0.05) + rng.choice(["", "", "s", "o"]) for _ in range(120)} - {""})
+    frame = people(spark, *({"full_name": n, "passport": "PLACEHOLDER"} for n in names))
+    from fragloom.functions.trigram import similarity, trigrams
+
+    rows = frame.select("id", trigrams(F.col("norm_name")).alias("t"))
+    a, b = rows.alias("a"), rows.alias("b")
+    for threshold in (0.85, 0.5):
+        expected = {(r[0], r[1]) for r in a.join(b, F.col("a.id") < F.col("b.id")).where(similarity(F.col("a.t"), F.col("b.t")) >= threshold).select("a.id", "b.id").collect()}
+        found = {tuple(sorted((r.u, r.v))) for r in merge.passport_links(frame, threshold).collect()}
+        assert found == expected and len(found) > 5
+
+
 def groups(spark, records, reviews=(), threshold=0.85):
     found = reconcile.duplicate_groups(people(spark, *records), no_reviews(spark, *reviews), threshold).collect()
     return sorted((r.group_id, r.person_id, r.reason) for r in found)
@@ -211,6 +245,14 @@ def test_api(spark):
     assert api.stats(frame) == {"total_persons": 8, "with_bank": 3, "top_cities": [("Oslo", 4), ("Rome", 4)], "top_companies": []}
     rows = [r.asDict() for r in api.gold_page(frame.withColumn("completeness", F.lit(1.0)), 3, after_id=4).collect()]
     assert api.gold_cursor(rows, 3)["next_cursor"] == 7 and api.gold_cursor(rows[:3], 3)["has_more"] is False
+    page = api.persons_list(frame, 2, 3, city="ROME")
+    assert (page["total"], page["count"], page["limit"], page["offset"], [x["id"] for x in page["items"]]) == (4, 1, 2, 3, [8])
+    curated = frame.withColumn("completeness", F.lit(1.0))
+    page = api.gold_list(curated, 3, after_id=4, with_total=True)
+    assert (page["total"], page["count"], page["next_cursor"], page["has_more"]) == (8, 3, 7, True)
+    page = api.gold_list(curated, 3, offset=6)
+    assert (page["total"], [x["id"] for x in page["items"]], page["next_cursor"], page["has_more"]) == (None, [7, 8], 8, False)
+    assert api.gold_list(None, with_total=True)["total"] == 0 and api.gold_list(None)["next_cursor"] is None
     assert "error" in api.gold_stats(None) and api.health() == {"status": "ok"}
     assert api.approve(no_reviews(spark), frame, 1, "sure").first()["status"] == "approved"
     assert api.medallion(None, frame, frame).first()["bronze"] is None
@@ -224,18 +266,24 @@ def test_tools(spark):
     assert len(catalogue) == 10
     assert catalogue["search_person"]("ana")["items"][0]["id"] == 1 and catalogue["get_stats"]()["total_persons"] == 1
     assert catalogue["top_cities"]() == [("Rome", 1)] and catalogue["duplicate_candidates"]()[0]["confidence"] == 0.9
+    assert catalogue["get_stats"]() == api.stats(frame) and catalogue["top_companies"](limit=1) == [("ACME", 1)]
+    assert catalogue["search_person"](city="rome", company="acm", page=1)["total"] == 1 and catalogue["search_person"]("ana", page=2)["items"] == []
+    assert catalogue["duplicate_candidates"](limit=1)[0]["id"] == 1
     assert catalogue["completeness_distribution"]() == [(8, 1)] and "passport" in catalogue["explain_matching"]()
 
 
 def test_maintenance_publishes_whole_tables(spark, tmp_path):
-    from fragloom.storage import Snapshots
+    from fragloom.storage import SnapshotSet, Snapshots
 
     frame = people(spark, WHOLE, {"full_name": "Eva Sol", "passport": "Q"}, {"full_name": "eva sol"})
     metrics = Metrics()
     for _ in range(2):
         jobs.publish(jobs.maintain(frame, no_reviews(spark), metrics=metrics), str(tmp_path))
-    table = Snapshots(spark, f"{tmp_path}/persons")
-    assert table.numbers() == [0, 1] and table.read().count() == 2
+    table = Snapshots(spark, str(tmp_path))
+    assert table.numbers() == [0, 1] and SnapshotSet(spark, str(tmp_path)).read("persons").count() == 2
+    (tmp_path / "v=2" / "persons").mkdir(parents=True)  # a rebuild that did not end shows nothing
+    assert SnapshotSet(spark, str(tmp_path)).read("gold_persons").count() == 1
+    assert metrics.values["reconcile_seconds_count", ""] == 2
     assert metrics.values["consolidation_merged_rows", ""] == 2 and metrics.values["gold_persons", ""] == 1
     table.prune(1)
     assert table.numbers() == [1]
@@ -246,3 +294,36 @@ def test_fragments_of_lists(spark):
     fields = fragments.person_fields(F.col("fragment_type"), F.col("message"), F.col("name"))
     out = row.select(*fields).first()
     assert (out.iban, out.salary, out.passport) == ("ES1", None, "X1")
+
+
+def test_rates_and_quantiles_of_metrics():
+    from fragloom.observability import bucket_quantile, rate
+
+    metrics = Metrics()
+    metrics.count("messages_consumed", 10, 'fragment_type="bank"')
+    before = dict(metrics.values)
+    metrics.count("messages_consumed", 30, 'fragment_type="bank"')
+    assert rate(before, metrics.values, "messages_consumed", 60) == {'fragment_type="bank"': 0.5}
+    assert rate(metrics.values, before, "messages_consumed", 10) == {'fragment_type="bank"': 1.0}  # begun anew
+    for seconds in (0.02, 0.02, 0.2, 0.9):
+        metrics.observe("persist_seconds", seconds)
+    assert 0.01 <= bucket_quantile(metrics.values, "persist_seconds", 0.5) <= 0.025
+    assert 0.5 < bucket_quantile(metrics.values, "persist_seconds", 0.99) <= 1 and bucket_quantile({}, "x", 0.5) is None
+
+
+def test_records_of_several_partitions(spark):
+    from fragloom.sources.kafka import topic_rows
+
+    records = spark.createDataFrame([(p, o, f"{p}/{o}") for p in range(3) for o in range(4)], "partition int, offset bigint, value string").withColumn("timestamp", F.current_timestamp())
+    rows = topic_rows(records).orderBy("seq").collect()
+    assert len({r.seq for r in rows}) == 12 and [r.value for r in rows if r.value.startswith("1/")] == ["1/0", "1/1", "1/2", "1/3"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from fragloom.storage import prepare
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        prepare(SimpleNamespace(sparkContext=context))

@@ -63,3 +63,24 @@ def test_waiting(counts, least, fired, polls):
     seen, slept = iter(counts + [counts[-1]] * 9), []
     assert wait_for(lambda: next(seen), least, 30, 90, slept.append) is fired
     assert len(slept) == polls
+
+
+def test_state_lapses(spark, tmp_path):
+    """Names and buffers that nothing can wake any more are not carried on."""
+    job = Ingest(spark, str(tmp_path), lifetime=60)
+    for number in range(6):
+        rows = [(100 * number + i, 1_700_000_000 + 1000 * number + i, f'{{"Name":"n{number}{i}","Lastname":"l","Sex":"F","Telfnumber":"6","Passport":"P{number}{i}","E-Mail":"e"}}') for i in range(5)]
+        frame = spark.createDataFrame(rows, "seq bigint, t bigint, value string").select("seq", F.timestamp_seconds("t").alias("ts"), "value")
+        job.batch(frame, number)
+        assert job.tables["aliases"].read().count() == 5 and job.tables["pending"].read().count() == 5
+        assert len(job.tables["aliases"].numbers()) <= 3
+
+
+def test_a_stream_with_lapsing_state_equals_the_batch(spark, tmp_path):
+    rows = fixtures.fragment_stream(spark, SF).where("seq < 600")
+    job = Ingest(spark, str(tmp_path), lifetime=LIFETIME_S, lateness=LIFETIME_S)
+    for number in range(4):
+        job.batch(rows.where(f"seq >= {150 * number} and seq < {150 * number + 150}"), number)
+    persons, log = jobs.ingest(rows, LIFETIME_S)
+    assert sorted(map(str, job.persons().select(*PLAIN).collect())) == sorted(map(str, persons.select(*PLAIN).collect()))
+    assert job.tables["fragment_log"].read().count() == log.count()
