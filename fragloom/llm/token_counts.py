@@ -128,7 +128,15 @@ def _counter(model):
             starts, ends, word_bounds = A.words(data, bounds)
             hashes = A.span_hash(A.prefix(A.BYTE_VALUES[data]), starts, ends)
             _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-            pieces = automaton.count(data, starts[first], (ends - starts)[first])[which] if len(starts) else starts
+            length = ends - starts
+            pieces = automaton.count(data, starts[first], length[first])[which] if len(starts) else starts
+            # Words of one hash are counted once; should two of them differ, each is counted by itself.
+            one = first[which] if len(starts) else starts
+            again = np.flatnonzero(one != np.arange(len(starts)))
+            alike = length[again] == length[one[again]]
+            alike[alike] = A.same_bytes(A.big_words(data), starts[again[alike]], starts[one[again[alike]]], length[again[alike]])
+            odd = again[~alike]
+            pieces[odd] = automaton.count(data, starts[odd], length[odd])
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), *(pa.array(x, pa.int64()) for x in (np.diff(bounds), np.diff(word_bounds), A.per_document(pieces, word_bounds)))],
                 names=["doc_id", "n_bytes", "n_words", "n_tokens"],
