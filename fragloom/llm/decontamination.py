@@ -204,7 +204,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 10, pass_bytes
     """doc_id, id, tag, n_words, n_hit, n_items, items_sha256, contaminated, spans (hit words) and items (names) for each document."""
     spark = docs.sparkSession
     rows = S.keyed(docs, id_col, text_col)
-    items = S.picked(benchmark, item_id="item_id", text="text").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text").cast("string").alias("text"))
+    items = S.picked(benchmark, item_id="item_id", text="text").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text").cast("string").alias("text")).distinct()  # repeats would all fall into one pass
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-int(size) // pass_bytes))
     found = []
