@@ -8,7 +8,9 @@ of equal conversations the least conv_id stays.  What is left is rendered.
 
 Turns are taken in order of ``turn``, then of a hash of role and text.  Conversations are summed
 and rendered in parts of ``part_turns`` turn numbers, so one of any length never lies in one task
-or one row; an ordinary conversation is one part, number 0.
+or one row; an ordinary conversation is one part, number 0.  A part with more than ``most`` rows, because very many
+have one turn number or none, falls into pieces by turn number and by ranges of the hash that orders equal numbers:
+their texts, in order of (part, piece_turn, piece), are the conversation's.
 
 Edge cases: a null conv_id is one conversation, counted as the greatest id; null turns come last,
 in a part of their own (null); null roles and texts differ from empty ones and are rendered as
@@ -23,7 +25,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fragloom.llm.spans import picked
 from fragloom.storage import materialise
 
-PART_TURNS = 256
+PART_TURNS, MOST = 256, 8192
+#: What a part, or a piece of one, is known by.
+PIECE = ["conv", "part", "piece_turn", "piece"]
 LAST = (1 << 63) - 1
 
 
@@ -44,22 +48,32 @@ def keyed_turns(turns: DataFrame, part_turns: int) -> DataFrame:
     )
 
 
+def in_pieces(turns: DataFrame, most: int) -> DataFrame:
+    """turns with piece_turn and piece, 0 for parts of at most so many rows."""
+    counts = turns.groupBy("conv", "part").agg(F.count("*").alias("rows")).where(F.col("rows") > most)
+    large = materialise(counts.select("conv", "part", F.ceil(F.col("rows") / most).alias("ranges")))
+    share = F.floor((F.col("x") / 2.0**64 + 0.5) * F.col("ranges"))  # grows with x
+    dealt = turns.join(large, ["conv", "part"], "left")
+    piece_turn = F.when(F.col("ranges").isNotNull(), F.col("turn")).otherwise(0).cast("bigint")
+    return dealt.withColumns({"piece_turn": piece_turn, "piece": F.coalesce(share, F.lit(0)).cast("bigint")}).drop("ranges")
+
+
 def prefixes(turns: DataFrame) -> DataFrame:
-    """conv, n, x, y: the hash of the first n turns, for every turn.  turns: conv, turn, part, x, y."""
-    turns = turns.select("conv", "part", "turn", "x", "y").distinct()
-    here = Window.partitionBy("conv", "part").orderBy("turn", "x", "y")
-    sums = turns.groupBy("conv", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("conv", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = turns.withColumn("at", F.row_number().over(here)).join(bases, ["conv", "part"])
+    """conv, n, x, y: the hash of the first n turns, for every turn.  turns: in_pieces()."""
+    turns = turns.select(*PIECE, "turn", "x", "y").distinct()
+    here = Window.partitionBy(*PIECE).orderBy("turn", "x", "y")
+    sums = turns.groupBy(*PIECE).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("conv").orderBy(*PIECE[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(*PIECE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    placed = turns.withColumn("at", F.row_number().over(here)).join(bases, PIECE)
     placed = placed.withColumn("at", F.col("base") + F.col("at"))
-    placed = placed.select("conv", "part", "at", _hash(3, F.col("at"), F.col("x")).alias("x"), _hash(4, F.col("at"), F.col("y")).alias("y"))
-    parts = placed.groupBy("conv", "part").agg(F.expr("bit_xor(x)").alias("px"), F.expr("bit_xor(y)").alias("py"))
+    placed = placed.select(*PIECE, "at", _hash(3, F.col("at"), F.col("x")).alias("x"), _hash(4, F.col("at"), F.col("y")).alias("y"))
+    parts = placed.groupBy(*PIECE).agg(F.expr("bit_xor(x)").alias("px"), F.expr("bit_xor(y)").alias("py"))
     none = F.lit(0).cast("bigint")
-    parts = parts.select("conv", "part", *(F.coalesce(F.expr(f"bit_xor({c})").over(before), none).alias(c) for c in ("px", "py")))
-    running = Window.partitionBy("conv", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    inside = placed.select("conv", "part", "at", F.expr("bit_xor(x)").over(running).alias("x"), F.expr("bit_xor(y)").over(running).alias("y"))
-    joined = inside.join(parts, ["conv", "part"])
+    parts = parts.select(*PIECE, *(F.coalesce(F.expr(f"bit_xor({c})").over(before), none).alias(c) for c in ("px", "py")))
+    running = Window.partitionBy(*PIECE).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.select(*PIECE, "at", F.expr("bit_xor(x)").over(running).alias("x"), F.expr("bit_xor(y)").over(running).alias("y"))
+    joined = inside.join(parts, PIECE)
     return joined.select("conv", F.col("at").alias("n"), F.col("x").bitwiseXOR(F.col("px")).alias("x"), F.col("y").bitwiseXOR(F.col("py")).alias("y"))
 
 
@@ -77,19 +91,19 @@ def render(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|im_start|>"), F.coalesce(role, F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")), F.lit("<|im_end|>\n"))
 
 
-def format_chats(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """conv_id, part, n_turns (of the whole conversation), text, for the conversations that no longer one holds."""
-    keyed = keyed_turns(turns, part_turns)
+def format_chats(turns: DataFrame, part_turns: int = PART_TURNS, most: int = MOST) -> DataFrame:
+    """conv_id, part, piece_turn, piece (0 in parts of at most ``most`` rows), n_turns (of the whole conversation), text, for the conversations that no longer one holds."""
+    keyed = in_pieces(keyed_turns(turns, part_turns), most)
     kept = maximal(keyed)
-    rows = keyed.select("conv", "part", "turn", "x", "y", render(F.col("role"), F.col("text")).alias("text")).join(kept, "conv")
-    parts = rows.groupBy("conv", "n_turns", "part").agg(F.array_sort(F.collect_set(F.struct("turn", "x", "y", "text"))).alias("all"))
+    rows = keyed.select(*PIECE, "turn", "x", "y", render(F.col("role"), F.col("text")).alias("text")).join(kept, "conv")
+    parts = rows.groupBy(*PIECE, "n_turns").agg(F.array_sort(F.collect_set(F.struct("turn", "x", "y", "text"))).alias("all"))
     text = F.array_join(F.transform("all", lambda t: t["text"]), "")
     last = F.floor(F.lit(LAST) / part_turns)
-    return parts.select(F.when(F.col("conv") != LAST, F.col("conv")).alias("conv_id"), F.when(F.col("part") != last, F.col("part")).alias("part"), "n_turns", text.alias("text"))
+    return parts.select(F.when(F.col("conv") != LAST, F.col("conv")).alias("conv_id"), F.when(F.col("part") != last, F.col("part")).alias("part"), "piece_turn", "piece", "n_turns", text.alias("text"))
 
 
 def query(spark, sf_dir):
-    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("piece_turn", "piece")
 
 
 #: Prefixes as lists of their turns, compared as they are.

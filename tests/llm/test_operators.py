@@ -404,6 +404,39 @@ def test_chat(spark):
     assert chat.format_chats(frame.limit(0)).count() == 0
 
 
+def test_chats_in_pieces(spark):
+    """Very many rows of one turn number, or of none, are dealt by hash, and nothing changes but the rows that hold them."""
+    turns = [(1, 3, "user", f"same number {i}") for i in range(60)] + [(None, None, "user", f"no number {i}") for i in range(60)]
+    turns += [(2, t, "user", f"turn {t}") for t in range(9)] + [(3, t, "user", f"turn {t}") for t in range(5)] + turns[:60]
+    turns += [(4, 3, "user", f"same number {i}") for i in range(60)]
+    frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    order = lambda r: (r.part is None, r.part, r.piece_turn, r.piece)
+    joined = {}
+    for most in (chat.MOST, 7):
+        rows = sorted(chat.format_chats(frame, most=most).collect(), key=order)
+        texts = {}
+        for r in rows:
+            texts[r.conv_id, r.n_turns] = texts.get((r.conv_id, r.n_turns), "") + r.text
+        joined[most] = texts
+        assert max(r.text.count("<|im_start|>") for r in rows) > 20 if most > 7 else len(rows) > 10
+    assert joined[7] == joined[chat.MOST] and set(joined[7]) == {(1, 60), (2, 9), (None, 60)}
+
+
+def test_words_of_one_hash_are_counted_each():
+    import pyarrow as pa
+
+    word = lambda flip: "".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(2048))
+    vocabulary = [b"ab", b"abb", *(bytes([i]) for i in range(256))]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1]), "text": pa.array([f"{word(0)} {word(1)} x"])})
+
+    class Sent:
+        value = __import__("pickle").dumps(token_counts.Automaton(vocabulary))
+
+    out = next(token_counts._counter(Sent)(iter([batch])))
+    expected = sum(greedy_pieces(w.encode(), set(vocabulary)) for w in (word(0), word(1), "x"))
+    assert out.column("n_tokens").to_pylist() == [expected]
+
+
 def test_no_documents(spark, nothing):
     empty = nothing.selectExpr("cast(null as bigint) as item_id", "text")
     outs = [words.substring_dedup(nothing), suffixes.suffix_dedup(nothing), prints.near_duplicates(nothing), decontamination.decontaminate(nothing, empty), lines.line_dedup(nothing), quality.quality(nothing), token_counts.token_counts(nothing, [b"a"]), langid.identify(nothing), mixing.mix(nothing).documents]
