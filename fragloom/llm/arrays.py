@@ -108,6 +108,47 @@ def part_of(ids, n):
     return np.mod(xxhash64(ids).view(np.int64), n)
 
 
+#: The constants of 32-bit Murmur3.
+_C1, _C2, _C3, _F1, _F2 = (np.uint32(x) for x in (0xCC9E2D51, 0x1B873593, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35))
+
+
+def _turn32(x, k):
+    return (x << np.uint32(k)) | (x >> np.uint32(32 - k))
+
+
+def partition_of(values, n):
+    """The one of n partitions that Spark's hash partitioning sends integers to: int32 or int64 arrays."""
+    words = values.view(np.uint32).reshape(len(values), -1).T
+    h = np.full(len(values), 42, np.uint32)
+    for word in words:
+        h = _turn32(h ^ _turn32(word * _C1, 15) * _C2, 13) * np.uint32(5) + _C3
+    h ^= np.uint32(4 * len(words))
+    h = (h ^ (h >> np.uint32(16))) * _F1
+    h = (h ^ (h >> np.uint32(13))) * _F2
+    return np.mod((h ^ (h >> np.uint32(16))).view(np.int32).astype(np.int64), n)
+
+
+#: So many parts at most get balanced names: they are a literal of the plan.
+BALANCED = 1 << 16
+
+
+def balanced_names(parts, partitions):
+    """A different int32 for each of so many parts, such that hash partitioning deals them evenly to the partitions."""
+    if parts > BALANCED:
+        return np.arange(parts, dtype=np.int32)
+    most, size = -(-parts // partitions), 16 * (parts + partitions)
+    while True:
+        names = np.arange(size, dtype=np.int32)
+        slot = partition_of(names, partitions)
+        order = np.argsort(slot, kind="stable")
+        edge = np.searchsorted(slot[order], np.arange(partitions))
+        turn = np.empty(size, np.int64)
+        turn[order] = np.arange(size) - edge[slot[order]]
+        if np.bincount(slot, minlength=partitions).min() >= most:
+            return names[np.lexsort((slot, turn))[:parts]]
+        size *= 2
+
+
 def _power(kind, n):
     have = _powers.get(kind)
     if have is None or len(have) < n:

@@ -55,12 +55,16 @@ class Words:
         return self.stop[units - 1]
 
 
+def _names(frame: DataFrame, parts: int):
+    return A.balanced_names(parts, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 #: Bytes of text of a part, which is one group in a worker.
 PART_BYTES = 16 << 20
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, parts: int | None) -> tuple[DataFrame, int]:
-    """part and spans.keyed() of docs, with a tag of 64 bits, and the number of parts: by default that of shuffle partitions, or more if they would hold more than PART_BYTES.
+    """part (its name, see arrays.balanced_names) and spans.keyed() of docs, with a tag of 64 bits, and the number of parts: by default that of shuffle partitions, or more if they would hold more than PART_BYTES.
 
     Rows are dealt by id and tag, so that rows without id do not gather in one part.
     """
@@ -68,8 +72,10 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, parts: int | None) -> tup
         size = S.picked(docs, text=text_col).agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
         parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     rows = S.keyed(docs, id_col, text_col).withColumn("tag", F.xxhash64("text"))
-    part = F.pmod(F.xxhash64(F.col("id").bitwiseXOR(F.col("tag"))), F.lit(parts))
-    return rows.select(part.cast("int").alias("part"), "doc_id", "id", "tag", "text"), parts
+    part = F.pmod(F.xxhash64(F.col("id").bitwiseXOR(F.col("tag"))), F.lit(parts)).cast("int")
+    if parts <= A.BALANCED:
+        part = F.get(F.array(*(F.lit(int(x)) for x in _names(docs, parts))), part)
+    return rows.select(part.alias("part"), "doc_id", "id", "tag", "text"), parts
 
 
 #: A minimiser in at least so many places, and in this share of the places of a census bucket's minimisers, sends
@@ -86,7 +92,7 @@ def repeated(rows: DataFrame, units: type, k: int, m: int, parts: int, verdict:
     census = rows.groupBy("part").applyInArrow(_census(units, k, m, parts, inside), "bucket int, blob binary")
     shared = census.groupBy("bucket").applyInArrow(_shared(hot), "part int, blob binary")
     strings = rows.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_strings(units, k, m, parts, 4 * parts, inside), "bucket int, blob binary")
-    return strings.groupBy("bucket").applyInArrow(_verdicts(verdict, parts), "part int, blob binary")
+    return strings.groupBy("bucket").applyInArrow(_verdicts(verdict, _names(rows, parts)), "part int, blob binary")
 
 
 def _cut(units, data, bounds, k, m):
@@ -179,11 +185,11 @@ def _strings(units, k, m, n_census, n_buckets, inside):
     return pack
 
 
-def _verdicts(verdict, n_parts):
+def _verdicts(verdict, names):
     def judge(table: pa.Table) -> pa.Table:
         data, fields, settled = K.unpack(table.column("blob"))
         ids, tags, s, e = (np.concatenate([x, y]) for x, y in zip(settled, verdict(data, fields), strict=True))
-        rows = B.by_key(A.part_of(ids ^ tags, n_parts), lambda part: (ids[part], tags[part], s[part].astype(np.uint32), e[part].astype(np.uint32)))
+        rows = B.by_key(names[A.part_of(ids ^ tags, len(names))], lambda part: (ids[part], tags[part], s[part].astype(np.uint32), e[part].astype(np.uint32)))
         return pa.Table.from_batches([B.batch(rows, "part")])
 
     return judge
