@@ -21,6 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from fragloom.llm import arrays as A
@@ -28,7 +29,7 @@ from fragloom.llm import blobs as B
 
 ORDER, BUCKETS, WIDE = 5, 256, 24
 #: Larger groups send fewer grams twice; a group's texts and grams lie in one worker.
-GROUP_BYTES, CHUNK_BYTES = 16 << 20, 2 << 20
+GROUP_BYTES, CHUNK_BYTES = 8 << 20, 2 << 20
 SENT = "bucket int, salt int, name bigint, blob binary"
 #: Log probabilities travel in steps of so much; what rounding adds to a text's mean is far less.
 STEP = 1 / 512
@@ -72,7 +73,9 @@ def _columns(counts):
     return [_small(np.ascontiguousarray(counts[:, f])) for f in FOLDS]
 
 
-def _packed(described):
+def _packed(described, partitions):
+    turn = 0
+
     def group(held):
         table = pa.Table.from_batches(held).combine_chunks()
         sink = pa.BufferOutputStream()
@@ -80,10 +83,21 @@ def _packed(described):
         with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
             writer.write_table(table)
         blob = sink.getvalue().to_pybytes()
-        return _sent([(0, 0, xxhash.xxh64_intdigest(blob) - (1 << 63), blob)]).to_batches()[0]
+        return _sent([(0, 0, name(blob), blob)]).to_batches()[0]
+
+    def name(blob):
+        """The group's name: what its bytes hash to, and a little more, so that hash partitioning sends this task's groups to places of their own."""
+        nonlocal turn
+        task = TaskContext.get()
+        place, turn = ((task.partitionId() if task else 0) + turn * (partitions // 2 + 1)) % partitions, turn + 1
+        first = (xxhash.xxh64_intdigest(blob) >> 1) - (1 << 62)
+        tried = first + np.arange(64 * partitions, dtype=np.int64)
+        fits = np.flatnonzero(A.partition_of(tried, partitions) == place)
+        return int(tried[fits[0]]) if len(fits) else first
 
     def pack(batches):
-        held, size = [], 0
+        nonlocal turn
+        held, size, turn = [], 0, 0
         for rows, data, bounds in A.text_chunks(batches, limit=CHUNK_BYTES):
             low = PLAIN[data]
             plain = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(low)])
@@ -318,8 +332,9 @@ def scored(rows: DataFrame, described, schema: str) -> DataFrame:
 
     described must tell ``lang`` and ``counted``, whether the model counts a text's grams; rows: text and what described reads.
     """
-    salts = -(-int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
-    packed = rows.mapInArrow(_packed(described), SENT)
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = -(-partitions // 16)
+    packed = rows.mapInArrow(_packed(described, partitions), SENT)
     asked = packed.groupBy("name").applyInArrow(_grams(salts), SENT)
     sums = asked.groupBy("bucket", "salt").applyInArrow(_summed, SENT)
     lower = sums.groupBy("bucket").applyInArrow(_lower, SENT).groupBy("name").applyInArrow(_language, SENT)

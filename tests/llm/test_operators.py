@@ -447,6 +447,14 @@ def test_hashes_and_blobs(spark):
     ids = [0, 1, -1, 5, (1 << 63) - 1, -(1 << 63), 123456789]
     found = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i bigint").selectExpr("xxhash64(i)").collect()]
     assert A.xxhash64(np.array(ids)).view(np.int64).tolist() == found
+    for n in (1, 7, 211):
+        for kind in ("int", "bigint"):
+            values = [i for i in ids if kind == "bigint" or abs(i) < 1 << 31] + list(range(50))
+            dealt = [r[0] for r in spark.createDataFrame([(i,) for i in values], f"i {kind}").selectExpr(f"pmod(hash(i), {n})").collect()]
+            assert A.partition_of(np.array(values, np.int32 if kind == "int" else np.int64), n).tolist() == dealt
+        for parts in (1, n, 3 * n + 2):
+            names = A.balanced_names(parts, n)
+            assert len(set(names.tolist())) == parts and np.ptp(np.bincount(A.partition_of(names, n), minlength=n)) <= 1
     arrays = [np.arange(5, dtype=np.int64), np.zeros(0, np.uint16), np.array([1, 70000], np.uint32), np.array([3], np.uint8)]
     assert [x.tolist() for x in blobs.load(blobs.dump(*arrays))] == [x.tolist() for x in arrays]
     text = np.frombuffer(b"abcabcabdabc", np.uint8)
