@@ -152,6 +152,33 @@ def build(items, k):
     return names, out
 
 
+def _found(matchers, text, at, stop, word_bounds, hashes):
+    """(place, length, item) of all occurrences; the words as of tokenised()."""
+    place, length, item = [], [], []
+    for matcher, pattern, owner in matchers:
+        which, where = matcher.find(text, at, stop, word_bounds, hashes)
+        low, high = np.searchsorted(pattern, which), np.searchsorted(pattern, which, "right")
+        item.append(owner[A.spread(low, high - low)])
+        place.append(np.repeat(where, high - low))
+        length.append(np.full(len(place[-1]), matcher.length))
+    return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (place, length, item))
+
+
+def _clean(model, column):
+    """Batches without the rows whose text holds a pattern."""
+
+    def clean(batches):
+        _, matchers = S.received(model)
+        for rows, data, bounds in A.text_chunks(batches, column):
+            words = tokenised(data, bounds)
+            place, _, _ = _found(matchers, *words)
+            hit = np.zeros(rows.num_rows, bool)
+            hit[np.searchsorted(words[3], place, "right") - 1] = True
+            yield rows.filter(pa.array(~hit))
+
+    return clean
+
+
 def _search(model):
     """Batches of (doc_id, text) to hit spans and item names."""
 
@@ -159,14 +186,7 @@ def _search(model):
         names, matchers = S.received(model)
         for rows, data, bounds in A.text_chunks(batches):
             text, at, stop, word_bounds, hashes = tokenised(data, bounds)
-            place, length, item = [], [], []
-            for matcher, pattern, owner in matchers:
-                which, where = matcher.find(text, at, stop, word_bounds, hashes)
-                low, high = np.searchsorted(pattern, which), np.searchsorted(pattern, which, "right")
-                item.append(owner[A.spread(low, high - low)])
-                place.append(np.repeat(where, high - low))
-                length.append(np.full(len(place[-1]), matcher.length))
-            place, length, item = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (place, length, item))
+            place, length, item = _found(matchers, text, at, stop, word_bounds, hashes)
             document = np.searchsorted(word_bounds, place, "right") - 1
             gone = A.covered(int(word_bounds[-1]), place, place + length)
             edge = np.flatnonzero(np.diff(word_bounds))
@@ -200,18 +220,29 @@ def _digest(batches):
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "id": batch.column("id"), "tag": batch.column("tag"), "n_words": batch.column("n_words"), "n_hit": pa.array(hits, pa.int64()), "n_items": pa.array(number, pa.int64()), "items_sha256": pa.array(sha, pa.string()), "contaminated": pa.array([x > 0 for x in hits], pa.bool_()), "spans": batch.column("spans"), "items": batch.column("items")})
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 10, pass_bytes: int = PASS_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, id, tag, n_words, n_hit, n_items, items_sha256, contaminated, spans (hit words) and items (names) for each document."""
-    spark = docs.sparkSession
-    rows = S.keyed(docs, id_col, text_col)
+def _models(benchmark: DataFrame, k: int, pass_bytes: int) -> list:
+    """What to search for, in passes."""
     items = S.picked(benchmark, item_id="item_id", text="text").select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text").cast("string").alias("text")).distinct()  # repeats would all fall into one pass
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-int(size) // pass_bytes))
-    found = []
-    for i in range(passes):
-        part = items if passes == 1 else items.where(F.pmod(F.xxhash64("name", "text"), F.lit(passes)) == i)
-        model = S.sent(spark, build([tuple(x) for x in part.collect()], k))
-        found.append(rows.mapInArrow(_search(model), FOUND))
+    parts = [items if passes == 1 else items.where(F.pmod(F.xxhash64("name", "text"), F.lit(passes)) == i) for i in range(passes)]
+    return [S.sent(benchmark.sparkSession, build([tuple(x) for x in part.collect()], k)) for part in parts]
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, k: int = 10, pass_bytes: int = PASS_BYTES, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, whose text holds no word of a benchmark window.  Rows are judged where they lie: nothing is shuffled, in any number of passes."""
+    S.bound_batches(docs.sparkSession)
+    rows = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    for model in _models(benchmark, k, pass_bytes):
+        rows = rows.mapInArrow(_clean(model, f"c{docs.columns.index(text_col)}"), rows.schema)
+    return rows.toDF(*docs.columns)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 10, pass_bytes: int = PASS_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, id, tag, n_words, n_hit, n_items, items_sha256, contaminated, spans (hit words) and items (names) for each document."""
+    rows = S.keyed(docs, id_col, text_col)
+    found = [rows.mapInArrow(_search(model), FOUND) for model in _models(benchmark, k, pass_bytes)]
+    passes = len(found)
     if passes > 1:
         every = found[0]
         for x in found[1:]:

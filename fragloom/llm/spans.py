@@ -30,14 +30,18 @@ BATCH_BYTES = 8 << 20
 _BATCH, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by BATCH_BYTES where Spark's own bound was left as it is."""
+    if spark.conf.get(_BATCH) == _DEFAULT:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+
+
 def picked(docs: DataFrame, **names: str) -> DataFrame:
     """Just the columns wanted, under new names: new=old.  Found by their exact names and by place, so no other column of ``docs`` can clash.
 
-    Also bounds the session's Arrow batches by BATCH_BYTES where Spark's own bound was left as it is.
+    Also bounds the session's Arrow batches: bound_batches().
     """
-    conf = docs.sparkSession.conf
-    if conf.get(_BATCH) == _DEFAULT:
-        conf.set(_BATCH, f"{BATCH_BYTES}b")
+    bound_batches(docs.sparkSession)
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     return plain.select(*(F.col(f"c{docs.columns.index(old)}").alias(new) for new, old in names.items()))
 

@@ -94,6 +94,9 @@ def test_decontamination(spark, documents, made):
     same(decontamination.decontaminate(documents, benchmark), expected, columns)
     same(decontamination.decontaminate(documents, benchmark, pass_bytes=400), expected, columns)
     same(decontamination.decontaminate(documents, benchmark.limit(0)), decontaminate(pairs(made), []), columns)
+    clean = [(row[0], row[1], 7) for row, x in zip(made, expected, strict=True) if not x[5]]
+    for size in (decontamination.PASS_BYTES, 400):
+        same(decontamination.clean_documents(documents, benchmark, pass_bytes=size), clean, ["doc_id", "text", "part"])
 
 
 def test_line_dedup(documents, made):
