@@ -23,7 +23,7 @@ from fragloom.llm import arrays as A
 from fragloom.llm.spans import picked, received, sent
 from fragloom.storage import materialise
 
-PER_LANGUAGE, LANDMARKS, SAMPLE, RIDGE, BINS = 200, 32, 8000, 1e-3, 1 << 16
+PER_LANGUAGE, LANDMARKS, SAMPLE, RIDGE, BINS = 200, 32, 8000, 1e-3, 1 << 10
 
 #: Chunks are small: a chunk's presence matrix has a row for each document and a column for each n-gram.
 CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 128
@@ -160,7 +160,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LA
     before = F.sum("count").over(Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
     bins = named.groupBy("lang", "bin").count().withColumn("before", F.coalesce(before, F.lit(0)))
     last = materialise(bins.where(F.col("before") < each).groupBy("lang").agg(F.max("bin").alias("last_bin")))
-    near = named.join(last, "lang").where(F.col("bin") <= F.col("last_bin"))
+    # A row for each language, fewer than the sample that the model is made of: joined without dealing all rows by language.
+    near = named.join(F.broadcast(last), "lang").where(F.col("bin") <= F.col("last_bin"))
     first = Window.partitionBy("lang").orderBy("bin", "doc_id", "tag")
     chosen = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= each).select("doc_id", "tag", "lang", "rank")
     # Only rows that were labelled so are learned from, and of repeated ones one.
