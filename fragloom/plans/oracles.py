@@ -214,7 +214,7 @@ ORACLES = {
     "gold_stats_answer": f"{BOTH}, {GOLD} select count(*) as total_persons, count(iban) as with_bank, round(coalesce(avg(completeness) * 8, 0), 2) as avg_completeness from gold",
     "assistant_search": f"""with {PERSONS}, hits as (select id, full_name, count(*) over () as total from persons where (full_name ilike '%a%' or company ilike '%a%' or email ilike '%a%') and company ilike '%s%')
       select total, (select count(*) from persons) as total_persons, (select count(iban) from persons) as with_bank, id, full_name from hits order by id limit 10 offset 10""",
-    "metrics_summary": f"with {CLASSIFIED}, n as (select fragment_type, count(*) as n from classified group by fragment_type) select fragment_type, n / 10.0 as a_second, cast((select count(*) from n) as double) as kinds from n",
+    "metrics_summary": f"with {CLASSIFIED}, n as (select fragment_type, count(*) as n from classified group by fragment_type) select fragment_type, cast(n / 10.0 as double) as a_second, cast((select count(*) from n) as double) as kinds from n",
     "name_catalog": f"{NAMES} select norm, len(words) as n_words, key2, keyt, n_persons, anchor_id, n_passports from names",
     "name_pairs": f"{PAIRS} select a, b, round(sim, 5) as sim, contain from pairs",
     "duplicate_groups": f"{GROUPS} select group_id, person_id, confidence, reason from groups",
