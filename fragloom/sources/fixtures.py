@@ -77,4 +77,5 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fragment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """seq, ts, value: an arrival log of raw messages, made from ``events``."""
     table(spark, sf_dir, "events").createOrReplaceTempView("events")
-    return spark.sql(FRAGMENTS).withColumn("ts", F.col("ts").cast("timestamp"))
+    log = spark.sql(FRAGMENTS).withColumn("ts", F.col("ts").cast("timestamp"))
+    return log.repartition(spark.sparkContext.defaultParallelism, "seq")  # one file, but a topic has partitions
