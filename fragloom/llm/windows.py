@@ -55,8 +55,13 @@ class Words:
         return self.stop[units - 1]
 
 
+def _partitions(frame: DataFrame, parts: int) -> int:
+    """Partitions for parts: one for each as long as a shuffle can have so many, beyond that for several, which a worker has one after another."""
+    return max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(parts, A.BALANCED))
+
+
 def _names(frame: DataFrame, parts: int):
-    return A.balanced_names(parts, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return A.balanced_names(parts, _partitions(frame, parts))
 
 
 #: Bytes of text of a part, which is one group in a worker.
@@ -66,7 +71,8 @@ PART_BYTES = 16 << 20
 def dealt(docs: DataFrame, id_col: str, text_col: str, parts: int | None) -> tuple[DataFrame, int]:
     """part (its name, see arrays.balanced_names) and spans.keyed() of docs, with a tag of 64 bits, and the number of parts: by default that of shuffle partitions, or more if they would hold more than PART_BYTES.
 
-    Rows are dealt by id and tag, so that rows without id do not gather in one part.
+    Rows are dealt by id and tag, so that rows without id do not gather in one part.  They are dealt to partitions here
+    and now, which all readers of parts share, and whose number keeps AQE from joining parts up in one task.
     """
     if not parts:
         size = S.picked(docs, text=text_col).agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
@@ -75,7 +81,7 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, parts: int | None) -> tup
     part = F.pmod(F.xxhash64(F.col("id").bitwiseXOR(F.col("tag"))), F.lit(parts)).cast("int")
     if parts <= A.BALANCED:
         part = F.get(F.array(*(F.lit(int(x)) for x in _names(docs, parts))), part)
-    return rows.select(part.alias("part"), "doc_id", "id", "tag", "text"), parts
+    return rows.select(part.alias("part"), "doc_id", "id", "tag", "text").repartition(_partitions(docs, parts), "part"), parts
 
 
 #: A minimiser in at least so many places, and in this share of the places of a census bucket's minimisers, sends
