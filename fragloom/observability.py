@@ -5,11 +5,14 @@ from __future__ import annotations
 import logging
 import re
 from collections import defaultdict
+from fractions import Fraction
+from math import ceil
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from fragloom.functions.text import REDACTIONS
+from fragloom.storage import materialise
 
 #: Upper bounds of a histogram's buckets, in seconds.
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 60, 300)
@@ -80,10 +83,29 @@ class StreamMetrics(StreamingQueryListener):
         self.metrics.gauge("stream_active", 0)
 
 
-def quantiles(df: DataFrame, value: str, shares: list[float], accuracy: int = 10_000) -> DataFrame:
-    """share, value: approximate quantiles of a column."""
-    row = df.agg(F.percentile_approx(value, shares, accuracy).alias("q"))
-    return row.select(F.explode(F.arrays_zip(F.array(*map(F.lit, shares)).alias("share"), F.col("q").alias("value"))).alias("x")).select("x.share", "x.value")
+def quantiles(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
+    """share, value: quantiles of a column, each the least value that reaches its share of the rows (nulls aside); null without rows.
+
+    Equal values are counted and dealt to ranges first; only the ranges that hold a quantile are then summed value by value.
+    """
+    if not all(0 <= share <= 1 for share in shares):
+        raise ValueError("shares lie between 0 and 1")
+    counts = df.select(F.col(value).alias("value")).where("value is not null").groupBy("value").agg(F.count("*").alias("n"))
+    counts = materialise(counts.repartitionByRange("value").withColumn("range", F.spark_partition_id()))  # read twice, and the ranges must stay
+    sizes = counts.groupBy("range").agg(F.min("value").alias("least"), F.sum("n").alias("size")).orderBy("least").select("range", "size").collect()
+    total, wanted = sum(size for _, size in sizes), []
+    for place, share in enumerate(shares):
+        rank, at = max(1, ceil(Fraction(str(share)) * total)), None
+        for at, size in sizes:
+            if rank <= size:
+                break
+            rank -= size
+        wanted.append((place, float(share), at, rank))
+    ranks = df.sparkSession.createDataFrame(wanted, "place int, share double, range int, rank bigint")
+    upto = F.sum("n").over(Window.partitionBy("range").orderBy("value"))
+    summed = counts.where(F.col("range").isin([at for *_, at, _ in wanted])).withColumn("upto", upto)
+    reached = ranks.join(summed, (ranks["range"] == summed["range"]) & (F.col("upto") >= F.col("rank")), "left")
+    return reached.groupBy("place", "share").agg(F.min("value").alias("value")).orderBy("place").select("share", "value")
 
 
 class Redactor(logging.Filter):

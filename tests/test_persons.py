@@ -311,6 +311,19 @@ def test_rates_and_quantiles_of_metrics():
     assert 0.5 < bucket_quantile(metrics.values, "persist_seconds", 0.99) <= 1 and bucket_quantile({}, "x", 0.5) is None
 
 
+def test_quantiles_are_exact(spark):
+    from fragloom.observability import quantiles
+
+    shares = [0.99, 0.0, 0.07, 0.5, 1.0]
+    found = [tuple(r) for r in quantiles(spark.range(300_000).selectExpr("id * 7 as v"), "v", shares).collect()]
+    assert found == [(0.99, 296_999 * 7), (0.0, 0), (0.07, 20_999 * 7), (0.5, 149_999 * 7), (1.0, 299_999 * 7)]
+    few = spark.createDataFrame([(x,) for x in (5, None, 5, -1, 9, None)], "v bigint")
+    assert [tuple(r) for r in quantiles(few, "v", [0.25, 0.5, 0.76]).collect()] == [(0.25, -1), (0.5, 5), (0.76, 9)]
+    assert [tuple(r) for r in quantiles(few.where("v is null"), "v", [0.5, 0.99]).collect()] == [(0.5, None), (0.99, None)]
+    with pytest.raises(ValueError):
+        quantiles(few, "v", [1.5])
+
+
 def test_records_of_several_partitions(spark):
     from fragloom.sources.kafka import topic_rows
 
